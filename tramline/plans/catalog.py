@@ -820,3 +820,6 @@ def clipped_positions(spark, d):
     bound = t.customer.select(F.max("c_acctbal")).scalar()
     return t.orders.select("o_orderkey", fx.clip_upper("o_totalprice", bound).cast("decimal(15,2)").alias("position"))
 
+
+# streaming entries register themselves into CATALOG
+from tramline.plans import stream_catalog  # noqa: E402,F401
