@@ -59,7 +59,8 @@ from events e join (select user_id, max(event_id) as last_id, min(event_id) as f
 def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
     events = load_table(spark, d, "events")
     msgs = _replay_parquet(spark, to_messages(events, "events", offset_col="event_id"), "msgs")
-    source = spark.readStream.schema("topic string, value string, partition int, offset long").parquet(msgs)
+    from tramline.streaming.ingest import MESSAGE_SCHEMA
+    source = spark.readStream.schema(MESSAGE_SCHEMA).parquet(msgs)
     store = LandingStore(spark, scratch_path(spark, "landing"))
     _run(start_ingest(source, store, scratch_path(spark, "ckpt"), topics={"events": EVENTS_TABLE}))
     w = store.writes(EVENTS_TABLE)

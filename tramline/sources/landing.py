@@ -76,7 +76,7 @@ class LandingStore:
         path = f"{self.base}/{table.name}"
         schema = T.StructType(list(table.schema.fields)).add("_offset", "long").add("batch", "long")
         if "clock_tick" in table.schema.fieldNames():
-            schema = schema.add("tick_bucket", "int")
+            schema = schema.add("tick_bucket", "integer")
         if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], schema).withColumnRenamed("batch", "_batch")
         df = self.spark.read.schema(schema).option("basePath", path).parquet(path)

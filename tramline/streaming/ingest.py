@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from tramline.schemas import TOPIC_TO_TABLE, EventTable
 from tramline.sources.landing import LandingStore
 
-MESSAGE_SCHEMA = "topic string, value string, partition int, offset long"
+MESSAGE_SCHEMA = "topic string, value string, partition int, offset long, timestamp timestamp"
 
 
 def kafka_source(spark: SparkSession, servers: str, topics=None, starting: str = "earliest") -> DataFrame:
@@ -27,7 +27,7 @@ def kafka_source(spark: SparkSession, servers: str, topics=None, starting: str =
     topics = topics or list(TOPIC_TO_TABLE)
     raw = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
            .option("subscribe", ",".join(topics)).option("startingOffsets", starting).load())
-    return raw.select("topic", F.col("value").cast("string").alias("value"), "partition", "offset")
+    return raw.select("topic", F.col("value").cast("string").alias("value"), "partition", "offset", "timestamp")
 
 
 def file_source(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
@@ -43,15 +43,19 @@ def _payload_schema(table: EventTable) -> T.StructType:
 
 
 def parse_topic(batch: DataFrame, table: EventTable) -> DataFrame:
-    """Typed rows of one topic; ``created_at`` is the ingest time (column default).
+    """Typed rows of one topic.
 
-    Sequence within the batch is the source position (partition, offset).
+    ``created_at`` is the message's own timestamp (the broker's append time,
+    stable across replays), else the ingest time. Sequence within the batch
+    is the source position (partition, offset).
     """
     rows = batch.where(F.col("topic") == table.topic)
+    stamp = F.col("timestamp") if "timestamp" in batch.columns else F.lit(None).cast("timestamp")
     parsed = rows.select(F.from_json("value", _payload_schema(table), {"mode": "FAILFAST"}).alias("m"),
-                         "partition", "offset")
+                         "partition", "offset", stamp.alias("_stamp"))
     cols = [F.col(f"m.{f.name}").alias(f.name) if f.name != "created_at"
-            else F.current_timestamp().alias("created_at") for f in table.schema.fields]
+            else F.coalesce(F.col("_stamp"), F.current_timestamp()).alias("created_at")
+            for f in table.schema.fields]
     seq = (F.coalesce(F.col("partition"), F.lit(0)).cast("long") * F.lit(1 << 40)
            + F.coalesce(F.col("offset"), F.lit(0)).cast("long"))
     return parsed.select(*cols, seq.alias("_offset"))
@@ -99,4 +103,4 @@ def to_messages(df: DataFrame, topic: str, offset_col: str | None = None) -> Dat
     payload = F.to_json(F.struct(*df.columns))
     off = F.col(offset_col).cast("long") if offset_col else F.monotonically_increasing_id()
     return df.select(F.lit(topic).alias("topic"), payload.alias("value"), F.lit(0).alias("partition"),
-                     off.alias("offset"))
+                     off.alias("offset"), F.current_timestamp().alias("timestamp"))
