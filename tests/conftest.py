@@ -16,6 +16,9 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from tramline.session import get_spark
     s = get_spark("local[8]", 8, app="tramline-tests")
+    # tiny chunk threshold: every multi-row key is split, so the chunk-edge
+    # logic of the sequence operators is exercised by every test
+    s.conf.set("tramline.sequence.chunkRows", "4")
     yield s
     s.stop()
 

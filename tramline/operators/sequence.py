@@ -4,15 +4,23 @@ A plain ``Window.partitionBy(key)`` sends every row of a key to one task, so
 a key holding a third of the log becomes a third of the job on one core. For
 event-volume inputs these operators therefore work in *chunks*:
 
-1. range-partition on ``(key, order)``: Spark samples the keys, so a hot key
-   is cut into several contiguous chunks of bounded size;
-2. compute the window inside ``(chunk, key)`` groups;
-3. fix the rows at chunk edges from a small per-(chunk, key) summary table
-   (one row per chunk and key, windowed per key over at most #chunks rows).
-
-``bounded=True`` skips the chunking for inputs whose groups are bounded by
-configuration (routes of a network, a fleet's latest state), where one
-shuffle on the key is the cheaper plan.
+1. count rows per key (a partial aggregate) and take the heaviest keys above
+   ``tramline.sequence.chunkRows`` -- at most ``tramline.sequence.hotKeys``
+   of them, a bounded table that is broadcast;
+2. for those keys only, approximate quantiles of the first ordering column
+   give up to ``SPLITS`` chunk bounds; a row's chunk is the number of bounds
+   at or below its value. Every other key is one chunk. Chunk ids are a pure
+   function of the data, so every branch of the plan (and every retry of a
+   lost task) computes the same ids;
+3. the window runs inside ``(key, chunk)`` groups -- one shuffle;
+4. rows at chunk edges are fixed from a per-(key, chunk) summary (one row
+   per chunk, windowed per key over at most ``SPLITS`` rows).
+
+Keys outside the hot list hold at most 1/(hotKeys+1) of the rows each, and
+a hot key is cut into up to ``SPLITS`` pieces, so no group is more than a
+small fraction of the input. ``bounded=True`` skips all of this for inputs
+whose groups are bounded by configuration (a route's stops, a fleet's
+latest state), where one shuffle on the key is the cheaper plan.
 """
 
 from __future__ import annotations
@@ -22,13 +30,44 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHUNK = "_chunk"
 
 
+SPLITS = 256
+DEFAULT_CHUNK_ROWS = 1_000_000
+DEFAULT_HOT_KEYS = 1024
+
+
+def _conf_int(df: DataFrame, name: str, default: int) -> int:
+    try:
+        return int(df.sparkSession.conf.get(name, str(default)))
+    except Exception:
+        return default
+
+
+def _splittable(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
 def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    ranged = df.repartitionByRange(*[F.col(c) for c in (*keys, *order)])
-    return ranged.withColumn(CHUNK, F.spark_partition_id())
+    """Add a deterministic ``_chunk`` id that splits hot keys along ``order[0]``."""
+    keys = list(keys)
+    first = order[0]
+    if not _splittable(df.schema[first].dataType):
+        return df.withColumn(CHUNK, F.lit(0))
+    chunk_rows = _conf_int(df, "tramline.sequence.chunkRows", DEFAULT_CHUNK_ROWS)
+    hot_keys = _conf_int(df, "tramline.sequence.hotKeys", DEFAULT_HOT_KEYS)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # top-k by size: a bounded table (at most hot_keys rows), safe to broadcast
+    hot = counts.where(F.col("_n") > chunk_rows).orderBy(F.desc("_n")).limit(hot_keys).select(*keys)
+    pct = F.array(*[F.lit(i / SPLITS) for i in range(1, SPLITS)])
+    bounds = (df.join(F.broadcast(hot), keys, "left_semi")
+              .groupBy(*keys).agg(F.percentile_approx(first, pct, 10000).alias("_bounds")))
+    tagged = attach(df, F.broadcast(bounds), keys)
+    chunk = F.coalesce(F.size(F.filter(F.col("_bounds"), lambda b: b <= F.col(first))), F.lit(0))
+    return tagged.withColumn(CHUNK, chunk).drop("_bounds")
 
 
 def _dedupe(*groups: Sequence[str]) -> list[str]:
