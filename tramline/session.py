@@ -68,5 +68,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tramline/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tramline`` importable on Python workers (for Pandas-backed operators).
+
+    Zips the package once per SparkContext and registers it with
+    ``addPyFile``, which distributes it with the job like any dependency.
+    """
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import shutil
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="tramline-pyfile-")
+    archive = shutil.make_archive(os.path.join(out, "tramline"), "zip", os.path.dirname(pkg_dir), "tramline")
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
+
+
 def local_dir_exists(path: str) -> bool:
     return os.path.isdir(path.replace("file:", ""))

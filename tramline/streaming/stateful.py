@@ -55,6 +55,8 @@ def transition_waits(stream: DataFrame, key: str, t: Column | str, tiebreak: str
     Pandas runs once per key and micro-batch on Arrow batches; the per-key
     state is three numbers.
     """
+    from tramline.session import ship_package
+    ship_package(stream.sparkSession)
     tcol = F.col(t) if isinstance(t, str) else t
     prepared = stream.select(F.col(key).cast("long").alias(key), tcol.cast("long").alias("_t"),
                              F.col(tiebreak).cast("long").alias("_tb"),
