@@ -58,6 +58,18 @@ class LandingStore:
         else:
             rows.write.mode("overwrite").parquet(dest)
 
+    def purge(self, batch_id: int) -> None:
+        """Empty every table as of ``batch_id`` (O-S9) without deleting files:
+        a purge marker hides all writes of batches up to and including it."""
+        marker = self.spark.range(1).select(F.lit(batch_id).cast("long").alias("purged"))
+        marker.write.mode("overwrite").json(f"{self.base}/_purges/batch={batch_id}")
+
+    def last_purge(self):
+        if not path_exists(self.spark, f"{self.base}/_purges"):
+            return F.lit(-1).cast("long")
+        purges = self.spark.read.schema("purged long, batch long").json(f"{self.base}/_purges")
+        return purges.select(F.coalesce(F.max("batch"), F.lit(-1)).cast("long")).scalar()
+
     def commit(self, batch_id: int) -> None:
         marker = self.spark.range(1).select(F.lit(batch_id).cast("long").alias("committed"))
         marker.write.mode("overwrite").json(f"{self.base}/_commits/batch={batch_id}")
@@ -82,7 +94,7 @@ class LandingStore:
         df = self.spark.read.schema(schema).option("basePath", path).parquet(path)
         df = df.withColumnRenamed("batch", "_batch")
         bound = F.lit(self.upto).cast("long") if self.upto is not None else self.last_committed()
-        return df.where(F.col("_batch") <= bound)
+        return df.where((F.col("_batch") <= bound) & (F.col("_batch") > self.last_purge()))
 
     def state(self, table: EventTable, min_tick=None) -> DataFrame:
         """The upserted table: one row per natural key, last write wins.

@@ -104,3 +104,15 @@ def to_messages(df: DataFrame, topic: str, offset_col: str | None = None) -> Dat
     off = F.col(offset_col).cast("long") if offset_col else F.monotonically_increasing_id()
     return df.select(F.lit(topic).alias("topic"), payload.alias("value"), F.lit(0).alias("partition"),
                      off.alias("offset"), F.current_timestamp().alias("timestamp"))
+
+
+def write_messages(df: DataFrame, servers: str | None = None, path: str | None = None) -> None:
+    """Publish messages (``to_messages`` output) to Kafka, or to a folder of
+    JSON lines that ``file_source`` can read (tests, replays)."""
+    if servers:
+        (df.select("topic", "value").write.format("kafka")
+         .option("kafka.bootstrap.servers", servers).save())
+    elif path:
+        df.write.mode("append").json(path)
+    else:
+        raise ValueError("give servers or path")
