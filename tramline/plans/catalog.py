@@ -821,5 +821,101 @@ def clipped_positions(spark, d):
     return t.orders.select("o_orderkey", fx.clip_upper("o_totalprice", bound).cast("decimal(15,2)").alias("position"))
 
 
+# ---------------------------------------------------------------------------
+# operating rules over the supplied tables
+# ---------------------------------------------------------------------------
+
+@register("travel_ticks", ("O-R9", "O-W4"), """
+select l_orderkey, l_linenumber, l_partkey, ticks,
+       cast(sum(coalesce(ticks, 0)) over (partition by l_orderkey
+            order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_shipdate
+            rows between unbounded preceding and current row) as bigint) as ticks_from_start
+from (select *, cast(ceil(l_quantity / nullif(l_discount, 0)) as bigint) as ticks from lineitem) t
+""")
+def travel_ticks_q(spark, d):
+    from tramline.plans.rules import travel_ticks
+    li = Tables(spark, d).lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                                          "l_discount", "l_shipdate")
+    t = travel_ticks(li, "l_quantity", "l_discount").withColumn("ticks", F.col("travel_ticks").cast("long"))
+    t = t.withColumn("_t0", F.coalesce(F.col("ticks"), F.lit(0).cast("long")))
+    cum = running_total(t, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount",
+                                            "l_shipdate"], "_t0", "ticks_from_start")
+    return cum.select("l_orderkey", "l_linenumber", "l_partkey", "ticks", "ticks_from_start")
+
+
+_RIDER_SQL = """
+select user_id, event_id, ts,
+       case when event_type <> 'purchase' then event_type end as station,
+       case when event_type = 'purchase' then user_id end as vehicle
+from events
+"""
+
+
+@register("station_counts", ("O-R6", "O-A14"), f"""
+with r as ({_RIDER_SQL}),
+s as (select *, lag(station) over w as prev_station, lag(vehicle) over w as prev_vehicle
+      from r window w as (partition by user_id order by ts, event_id)),
+b as (select cast(ts as date) as day, prev_station as station, 1 as b, 0 as e from s
+      where vehicle is not null and prev_station is not null
+      union all
+      select cast(ts as date), station, 0, 1 from s where station is not null and prev_vehicle is not null)
+select day, station, cast(sum(b) as bigint) as boarded, cast(sum(e) as bigint) as entered
+from b group by day, station
+""")
+def station_counts_q(spark, d):
+    from tramline.plans.rules import station_counts
+    e = Tables(spark, d).events
+    riders = e.select("user_id", "event_id", "ts",
+                      F.when(F.col("event_type") != "purchase", F.col("event_type")).alias("station"),
+                      F.when(F.col("event_type") == "purchase", F.col("user_id")).alias("vehicle"))
+    counts = station_counts(riders, "user_id", "ts", "station", "vehicle", tiebreak=["event_id"],
+                            period=F.to_date)
+    return counts.select(F.col("ts").alias("day"), F.col("station_id").alias("station"),
+                         F.col("passengers_boarded_trains").alias("boarded"),
+                         F.col("passengers_entered_station").alias("entered"))
+
+
+@register("alighting", ("O-R7", "O-J1"), """
+select l.l_orderkey, l.l_linenumber, l.l_suppkey
+from lineitem l join orders o on l.l_orderkey = o.o_orderkey
+join customer c on o.o_custkey = c.c_custkey
+left join supplier s on l.l_suppkey = s.s_suppkey
+where s.s_nationkey is null or s.s_nationkey <> c.c_nationkey
+""")
+def alighting_q(spark, d):
+    from tramline.plans.rules import alighting
+    t = Tables(spark, d)
+    riders = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey").join(
+        t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("want")),
+        "l_suppkey", "left")
+    vehicles = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey").join(
+        t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("next_stop")),
+        "o_custkey").select("l_orderkey", "next_stop")
+    return alighting(riders, vehicles, "l_orderkey", "want", "next_stop") \
+        .select("l_orderkey", "l_linenumber", "l_suppkey")
+
+
+@register("transition_audit", ("O-R8", "O-X19", "O-W2"), f"""
+with t as (select user_id, event_id, event_type,
+                  (epoch_us(ts) - (select epoch_us(min(ts)) from events)) // 60000000 as tick from events),
+s as (select *, lag(event_type) over w as prev_state, lag(tick) over w as prev_tick
+      from t window w as (partition by user_id order by tick, event_id))
+select user_id, event_id, tick, prev_state, event_type,
+       case when tick - prev_tick > 1 then 'gap' else 'invalid' end as verdict
+from s
+where prev_tick is not null
+  and (tick - prev_tick > 1
+       or not (prev_state = event_type or coalesce({_sql_cycle_map()}[prev_state], '') = event_type))
+""")
+def transition_audit_q(spark, d):
+    from tramline.plans.rules import platform_transition_audit
+    e = Tables(spark, d).events
+    start = e.select(F.min(us("ts"))).scalar()
+    t = e.select("user_id", "event_id", "event_type",
+                 ((us("ts") - start) / F.lit(60000000)).cast("long").alias("tick"))
+    return platform_transition_audit(t, ["user_id"], "tick", "event_type", EVENT_CYCLE, tiebreak=["event_id"]) \
+        .select("user_id", "event_id", "tick", "prev_state", "event_type", "verdict")
+
+
 # streaming entries register themselves into CATALOG
 from tramline.plans import stream_catalog  # noqa: E402,F401

@@ -100,13 +100,14 @@ def alighting(riders: DataFrame, vehicles: DataFrame, vehicle: str, rider_next:
 
 
 def platform_transition_audit(states: DataFrame, keys: Sequence[str], tick: str = "clock_tick",
-                              state: str = "platform_state", cycle: Sequence[str] = PLATFORM_STATES) -> DataFrame:
+                              state: str = "platform_state", cycle: Sequence[str] = PLATFORM_STATES,
+                              tiebreak: Sequence[str] = ()) -> DataFrame:
     """O-R8: consecutive platform states must be equal or the successor.
 
     Pairs whose ticks are not adjacent are reported as ``gap`` (missing log
-    rows), not judged.
+    rows), not judged. ``tiebreak`` orders rows that share a tick.
     """
-    seq = neighbors(states, keys, [tick], [tick, state], "prev")
+    seq = neighbors(states, keys, [tick, *tiebreak], [tick, state], "prev")
     prev_state, prev_tick = F.col(f"prev_{state}"), F.col(f"prev_{tick}")
     ok = (prev_state == F.col(state)) | (next_in_cycle(prev_state, cycle) == F.col(state))
     verdict = (F.when(prev_tick.isNull(), F.lit(None))
@@ -114,25 +115,30 @@ def platform_transition_audit(states: DataFrame, keys: Sequence[str], tick: str
                .when(ok, F.lit(None))
                .otherwise(F.lit("invalid")))
     out = seq.withColumn("verdict", verdict)
-    return out.where(F.col("verdict").isNotNull()).select(*keys, tick, prev_state.alias("prev_state"), state,
-                                                          "verdict")
+    return out.where(F.col("verdict").isNotNull()).select(*keys, *tiebreak, tick, prev_state.alias("prev_state"),
+                                                          state, "verdict")
 
 
 def station_counts(passengers: DataFrame, key: str = "passenger_id", tick: str = "clock_tick",
-                   station: str = "station_id", vehicle: str = "train_id") -> DataFrame:
-    """O-R6: per (tick, station) boardings and entries rebuilt from rider events.
+                   station: str = "station_id", vehicle: str = "train_id", tiebreak: Sequence[str] = (),
+                   period=None) -> DataFrame:
+    """O-R6: per (period, station) boardings and entries rebuilt from rider events.
 
     boarded: station -> vehicle transition, counted at the station left;
     entered: vehicle -> station transition, counted at the station reached.
+    ``period`` maps the tick column to the reporting grain (default: the tick).
     """
-    seq = neighbors(passengers.select(key, tick, station, vehicle), [key], [tick], [station, vehicle], "prev")
+    tiebreak = list(tiebreak)
+    seq = neighbors(passengers.select(key, tick, *tiebreak, station, vehicle), [key], [tick, *tiebreak],
+                    [station, vehicle], "prev")
+    when = (period(F.col(tick)) if period else F.col(tick)).alias(tick)
     boarded = seq.where(F.col(vehicle).isNotNull() & F.col(f"prev_{station}").isNotNull()) \
-        .select(tick, F.col(f"prev_{station}").alias("station_id"), F.lit(1).alias("b"), F.lit(0).alias("e"))
+        .select(when, F.col(f"prev_{station}").alias("station_id"), F.lit(1).alias("b"), F.lit(0).alias("e"))
     entered = seq.where(F.col(station).isNotNull() & F.col(f"prev_{vehicle}").isNotNull()) \
-        .select(tick, F.col(station).alias("station_id"), F.lit(0).alias("b"), F.lit(1).alias("e"))
+        .select(when, F.col(station).alias("station_id"), F.lit(0).alias("b"), F.lit(1).alias("e"))
     both = boarded.unionByName(entered)
-    return both.groupBy(tick, "station_id").agg(F.sum("b").alias("passengers_boarded_trains"),
-                                               F.sum("e").alias("passengers_entered_station"))
+    return both.groupBy(tick, "station_id").agg(F.sum("b").cast("long").alias("passengers_boarded_trains"),
+                                               F.sum("e").cast("long").alias("passengers_entered_station"))
 
 
 def travel_ticks(segments: DataFrame, distance: str = "distance_km", speed: str = "speed") -> DataFrame:
