@@ -107,3 +107,50 @@ def test_lone_train_leads_itself(spark):
            circular_gap(df, ["route"], "pos", "tid", lengths, "len").collect()}
     # lone train: whole loop; equal positions: ordered by id
     assert got == {9: (9, 10.0), 5: (6, 0.0), 6: (5, 8.0)}
+
+
+def test_empty_inputs_keep_fixed_rows(spark, shipped):
+    """No trains, no stations, no passengers: KPIs one row of zeros, waits three zero rows."""
+    from dataclasses import replace
+    from pyspark.sql import functions as F
+    net, ev = shipped
+    none = replace(ev, train_state=ev.train_state.where(F.lit(False)),
+                   passenger_state=ev.passenger_state.where(F.lit(False)))
+    k = tp.live_system_kpis(none, net).collect()
+    assert [tuple(r) for r in k] == [(0, 0, 0, Decimal("0.0"), 0)]
+    assert sorted(tuple(r) for r in tp.live_wait_times(none).collect()) == \
+        [("Avg", Decimal("0.0")), ("Max", Decimal("0.0")), ("Min", Decimal("0.0"))]
+
+
+def test_utilization_rounding_and_zero_capacity(spark):
+    from tramline.functions import safe_pct
+    df = spark.createDataFrame([(3, 8), (1, 3), (2, 3), (5, 0), (4, None), (1, 16)], "n int, cap int")
+    got = [r.p for r in df.select(safe_pct("n", "cap", 1).alias("p")).collect()]
+    assert got == [Decimal("37.5"), Decimal("33.3"), Decimal("66.7"), None, None, Decimal("6.3")]
+
+
+def test_stop_index_null_and_empty(spark):
+    from tramline.functions import stop_index
+    df = spark.createDataFrame([(None,), ([],), ([4],), ([4, 2, 1],)], "h array<int>")
+    assert [r.i for r in df.select(stop_index("h").alias("i")).collect()] == [0, 0, 0, 2]
+
+
+def test_bad_seed_json_fails(spark, scratch):
+    import os
+    import pytest
+    from tramline.schemas import SEGMENT_STATE, TRAINS_PRESENT_DDL
+    from tramline.sources.seeds import read_seed
+    p = os.path.join(scratch, "bad.csv")
+    with open(p, "w") as fh:
+        fh.write('segment_id,clock_tick,trains_present\n12,1,"[{""id"": 1, ""position_km"": 0.4"\n')
+    with pytest.raises(Exception):
+        read_seed(spark, p, SEGMENT_STATE, json_cols={"trains_present": TRAINS_PRESENT_DDL}).collect()
+
+
+def test_staged_segment_length_rounds_half_up(spark):
+    from tramline.plans.transit import Network, staged_segments
+    segs = spark.createDataFrame([(1, 1, 2, 7.5, 0.2), (2, 2, 1, 7.3, 0.2), (3, 2, 3, 1.3, 0.3)],
+                                 "segment_id int, from_station_id int, to_station_id int, distance_km double, "
+                                 "speed double")
+    net = Network(None, None, None, segs)
+    assert [r.distance_km for r in staged_segments(net).orderBy("segment_id").collect()] == [8, 7, 1]

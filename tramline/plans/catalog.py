@@ -52,9 +52,14 @@ def register(name: str, operators: tuple[str, ...], sql: str | None):
     return wrap
 
 
-def us(col: str):
-    """Epoch microseconds of a timestamp(_ntz) column."""
-    return F.unix_micros(F.col(col).cast("timestamp"))
+def us(col):
+    """Epoch microseconds of a wall-clock (timestamp_ntz) column.
+
+    A difference of two NTZ values, so the session time zone plays no part.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, c)
 
 
 def money(col: str):
@@ -505,9 +510,8 @@ from events group by 1, 2
 """)
 def event_type_windows(spark, d):
     e = Tables(spark, d).events
-    w = e.groupBy(F.window(F.col("ts").cast("timestamp"), "1 day").alias("w"), "event_type").agg(
-        F.count("*").alias("n"))
-    return w.select(F.unix_micros(F.col("w.start")).alias("window_start_us"), "event_type", "n")
+    w = e.groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count("*").alias("n"))
+    return w.select(us(F.col("w.start")).alias("window_start_us"), "event_type", "n")
 
 
 # ---------------------------------------------------------------------------

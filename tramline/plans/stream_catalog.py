@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tramline.plans.catalog import register
+from tramline.plans.catalog import register, us
 from tramline.schemas import EventTable
 from tramline.session import scratch_path
 from tramline.sources.landing import LandingStore
@@ -85,11 +85,11 @@ def stream_latest(spark: SparkSession, d: str) -> DataFrame:
          .option("checkpointLocation", scratch_path(spark, "ckpt")).trigger(availableNow=True).start())
     got = spark.read.parquet(out)
     return got.select("user_id", "event_id", "event_type",
-                      F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"))
+                      us("ts").alias("ts_us"))
 
 
 def _waits_stream(spark: SparkSession, src: DataFrame, out: str, ckpt: str) -> None:
-    waits = transition_waits(src, "user_id", F.unix_micros(F.col("ts").cast("timestamp")), "event_id",
+    waits = transition_waits(src, "user_id", us("ts"), "event_id",
                              F.col("event_type") == "view", F.col("event_type") == "purchase")
     _run(waits.writeStream.outputMode("append").foreachBatch(_to_parquet(out))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
