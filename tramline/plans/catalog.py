@@ -221,7 +221,7 @@ def wait_times(spark, d):
     return _waits(spark, d)
 
 
-@register("wait_summary", ("O-A5", "O-U2", "O-X4", "O-M18"), f"""
+@register("wait_summary", ("O-A5", "O-U2", "O-X4", "O-M18", "O-S11"), f"""
 with w as ({_WAITS_SQL}), s as (
   select coalesce(max(wait_us // 1000000), 0) as max_wait,
          {sql_avg_half_up('wait_us // 1000000', 1, 0, default=0)} as avg_wait,
@@ -239,7 +239,7 @@ def wait_summary(spark, d):
                        "metric", "wait_time", value_type="decimal(18,1)")
 
 
-@register("route_topology", ("O-W3", "O-W4", "O-W5", "O-M7", "O-O1"), """
+@register("route_topology", ("O-W3", "O-W4", "O-W5", "O-M7", "O-M13", "O-O1"), """
 select conv_id, turn, role, prev_role, running_chars, max(running_chars) over () as max_running_chars
 from (select conv_id, turn, role, lag(role) over w as prev_role,
              cast(sum(length(text)) over (w rows between unbounded preceding and current row) as bigint) as running_chars
@@ -319,7 +319,7 @@ def gap_health(spark, d):
 # joins
 # ---------------------------------------------------------------------------
 
-@register("linear_position", ("O-J1", "O-J3", "O-J4", "O-X2", "O-M8"), """
+@register("linear_position", ("O-J1", "O-J3", "O-J4", "O-X2", "O-M8", "O-M12"), """
 select l.l_orderkey, l.l_linenumber, l.l_suppkey, c.c_nationkey, r.r_name,
        cast(o.o_totalprice as decimal(15,2)) + coalesce(cast(s.s_acctbal as decimal(15,2)), 0) as position
 from lineitem l
@@ -344,20 +344,23 @@ def linear_position(spark, d):
                     (money("o_totalprice") + F.coalesce(money("s_acctbal"), F.lit(0))).alias("position"))
 
 
-@register("utilization", ("O-X3", "O-X4", "O-J3", "O-M10"), f"""
+@register("utilization", ("O-X3", "O-X4", "O-X16", "O-J3", "O-M10", "O-M12"), f"""
 select l.l_orderkey, l.l_linenumber, l.l_partkey, p.p_size as capacity,
-       {sql_pct_half_up('l.l_quantity', 'p.p_size', 1)} as utilization_pct
+       {sql_pct_half_up('l.l_quantity', 'p.p_size', 1)} as utilization_pct,
+       cast(trunc(l.l_extendedprice / l.l_quantity * 1000) as bigint) / 1000.0 as unit_price
 from lineitem l left join part p on l.l_partkey = p.p_partkey
 """)
 def utilization(spark, d):
     t = Tables(spark, d)
     p = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_size").alias("capacity"))
-    x = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity").join(p, "l_partkey", "left")
+    x = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice") \
+        .join(p, "l_partkey", "left")
     return x.select("l_orderkey", "l_linenumber", "l_partkey", "capacity",
-                    pct_half_up(F.col("l_quantity"), F.col("capacity"), 1).alias("utilization_pct"))
+                    pct_half_up(F.col("l_quantity"), F.col("capacity"), 1).alias("utilization_pct"),
+                    fx.truncate_to(F.col("l_extendedprice") / F.col("l_quantity"), 3).alias("unit_price"))
 
 
-@register("status_case", ("O-X5", "O-X6", "O-X18"), """
+@register("status_case", ("O-X5", "O-X6", "O-X18", "O-X22"), """
 select o_orderkey,
        case when seg is not null and st is null then 'MOVING'
             when seg is null and st is not null then 'IN_STATION' else 'UNKNOWN' end as status,
@@ -419,7 +422,7 @@ def kpis_empty(spark, d):
     return _kpis(t.lineitem.where(F.col("l_quantity") < 0), t.orders.where(F.col("o_totalprice") < 0))
 
 
-@register("group_extents", ("O-A2", "O-A6", "O-M19"), """
+@register("group_extents", ("O-A2", "O-A6", "O-M19", "O-S2"), """
 select c_mktsegment, cast(min(c_acctbal) as decimal(15,2)) as start_bal,
        cast(max(c_acctbal) as decimal(15,2)) as end_bal, count(*) as n
 from customer group by c_mktsegment
@@ -430,7 +433,7 @@ def group_extents(spark, d):
                                          F.max(money("c_acctbal")).alias("end_bal"), F.count("*").alias("n"))
 
 
-@register("crowding_rank", ("O-O2", "O-M17", "O-M4"), """
+@register("crowding_rank", ("O-O2", "O-M17", "O-M4", "O-S10"), """
 select event_type, count(*) as n_users
 from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from events) t
 where rn = 1 group by event_type
@@ -574,7 +577,7 @@ def dq_unique(spark, d):
     return v
 
 
-@register("dq_unique_combo", ("O-Q3",), """
+@register("dq_unique_combo", ("O-Q3", "O-Q22"), """
 select 'unique_combination' as check_id, 'error' as severity, 'lineitem' as table_name,
        'l_orderkey,l_linenumber' as column_name,
        cast(l_orderkey as varchar) || ',' || cast(l_linenumber as varchar) as entity, count(*) as n
@@ -585,7 +588,7 @@ def dq_unique_combo(spark, d):
     return checks.unique(li, "lineitem", ["l_orderkey", "l_linenumber"])
 
 
-@register("orphans", ("O-Q5", "O-Q7", "O-Q8", "O-Q15", "O-J11", "O-U3"), """
+@register("orphans", ("O-Q5", "O-Q7", "O-Q8", "O-Q15", "O-Q18", "O-J11", "O-U3"), """
 select o_orderkey, o_custkey from orders o
 where not exists (select 1 from customer c where c.c_custkey = o.o_custkey and c.c_mktsegment <> 'BUILDING')
 """)
@@ -713,7 +716,7 @@ def next_stop(spark, d):
         .select("c_custkey", F.col("seq").alias("stop_index"), F.col("next_station").alias("next_nationkey"))
 
 
-@register("trips_due", ("O-R2", "O-J2"), """
+@register("trips_due", ("O-R2", "O-J2", "O-A12"), """
 with clock as (select distinct cast(dayofweek(ts) as integer) as wd, cast(hour(ts) as integer) as hh,
                       cast(minute(ts) as integer) as mm from events
                where ts >= (select max(ts) from events) - interval 2 hour),
@@ -921,5 +924,144 @@ def transition_audit_q(spark, d):
         .select("user_id", "event_id", "tick", "prev_state", "event_type", "verdict")
 
 
+# ---------------------------------------------------------------------------
+# staging, seeds, semi joins and configuration checks
+# ---------------------------------------------------------------------------
+
+@register("seed_scan", ("O-S1", "O-X1", "O-X9"), """
+select event_id, user_id, cast(user_id as integer) as first_id, cast(2 as integer) as n_ids,
+       cast(props->>'k' as integer) as k
+from events
+""")
+def seed_scan(spark, d):
+    from pyspark.sql import types as T
+    from tramline.session import scratch_path
+    from tramline.sources.seeds import read_seed
+    e = Tables(spark, d).events
+    # the events as a seed file: an array-literal cell and a quoted JSON cell
+    csv = e.select("event_id", "user_id",
+                   F.concat(F.lit("{"), F.col("user_id").cast("string"), F.lit(","),
+                            F.col("event_id").cast("string"), F.lit("}")).alias("ids"), "props")
+    path = scratch_path(spark, "seed")
+    csv.write.option("header", True).option("escape", '"').csv(path)
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
+                           T.StructField("ids", T.ArrayType(T.IntegerType())),
+                           T.StructField("props", T.StructType([T.StructField("k", T.IntegerType())]))])
+    seed = read_seed(spark, path, schema, array_cols=["ids"], json_cols={"props": "struct<k:int>"})
+    return seed.select("event_id", "user_id", F.col("ids")[0].alias("first_id"),
+                       F.size("ids").alias("n_ids"), F.col("props.k").alias("k"))
+
+
+@register("staging_casts", ("O-P1", "O-P2", "O-P3", "O-P4", "O-P5", "O-P6", "O-P7", "O-P10", "O-P11",
+                            "O-X1"), """
+select cast(p_partkey as integer) as part_id, substr(p_name, 1, 10) as name10,
+       cast(round(p_retailprice / 100) as integer) as price_hundreds,
+       cast(p_size as decimal(18,6)) as size_num, p_brand
+from part
+""")
+def staging_casts(spark, d):
+    p = Tables(spark, d).part
+    # varchar(10): an explicit cast truncates; integer length: rounded half away from zero
+    return p.select(F.col("p_partkey").cast("int").alias("part_id"), F.substring("p_name", 1, 10).alias("name10"),
+                    F.round(F.col("p_retailprice") / 100).cast("int").alias("price_hundreds"),
+                    F.col("p_size").cast("decimal(18,6)").alias("size_num"), "p_brand")
+
+
+@register("semi_match", ("O-J12", "O-F7"), """
+select c_custkey, c_mktsegment from customer c
+where exists (select 1 from orders o where o.o_custkey = c.c_custkey and o.o_orderpriority = '1-URGENT')
+""")
+def semi_match(spark, d):
+    t = Tables(spark, d)
+    urgent = t.orders.where(F.col("o_orderpriority") == "1-URGENT").select(F.col("o_custkey").alias("c_custkey"))
+    return t.customer.join(urgent, "c_custkey", "left_semi").select("c_custkey", "c_mktsegment")
+
+
+@register("dq_nonempty", ("O-Q4",), """
+select 'table_empty' as check_id, 'error' as severity, 'events_unknown_type' as table_name,
+       '' as column_name, 'events_unknown_type' as entity
+where (select count(*) from events where event_type = 'unknown') = 0
+union all
+select 'table_empty', 'error', 'events', '', 'events' where (select count(*) from events) = 0
+""")
+def dq_nonempty(spark, d):
+    e = Tables(spark, d).events
+    # an empty selection is the feature under test
+    return checks.suite(checks.is_empty(e.where(F.col("event_type") == "unknown"), "table_empty",
+                                        "events_unknown_type"),
+                        checks.is_empty(e, "table_empty", "events"))
+
+
+@register("dq_state_codes", ("O-Q6", "O-Q10", "O-Q12", "O-X19"), f"""
+select 'unknown_code' as check_id, 'error' as severity, 'events' as table_name, 'event_type' as column_name,
+       cast(event_id as varchar) as entity
+from events where event_type not in ({_sql_list(EVENT_CYCLE)}) or event_type is null
+union all
+select 'unlocated', 'error', 'orders', 'o_orderstatus', cast(o_orderkey as varchar)
+from orders where not (o_orderstatus = 'O') and not (o_orderstatus = 'F')
+""")
+def dq_state_codes(spark, d):
+    t = Tables(spark, d)
+    e = t.events
+    unknown = e.where(~F.col("event_type").isin(EVENT_CYCLE) | F.col("event_type").isNull())
+    seg = F.when(F.col("o_orderstatus") == "O", F.col("o_orderkey"))
+    st = F.when(F.col("o_orderstatus") == "F", F.col("o_custkey"))
+    unlocated = t.orders.where(seg.isNull() & st.isNull())
+    return checks.suite(
+        checks._frame(unknown, "unknown_code", "events", "event_type", F.col("event_id").cast("string")),
+        checks._frame(unlocated, "unlocated", "orders", "o_orderstatus", F.col("o_orderkey").cast("string")))
+
+
+@register("dq_config_refs", ("O-Q11", "O-Q19", "O-Q20", "O-Q21"), f"""
+with regions as (select r_regionkey from region where r_name <> 'ASIA'),
+nations as (select n_nationkey from nation where n_name <> 'GERMANY'),
+e as ({_TRADE_EDGES_SQL}),
+r as (select n_regionkey as route, n_nationkey as station,
+             row_number() over (partition by n_regionkey order by n_nationkey) - 1 as seq from nation),
+pairs as (select a.route, a.station as from_station, b.station as to_station
+          from r a join r b on a.route = b.route and b.seq = a.seq + 1)
+select 'undefined_region' as check_id, 'error' as severity, 'nation' as table_name,
+       'n_regionkey' as column_name, cast(n_nationkey as varchar) as entity
+from nation where n_regionkey not in (select r_regionkey from regions)
+union all
+select 'undefined_nation', 'error', 'supplier', 's_nationkey', cast(s_suppkey as varchar)
+from supplier where s_nationkey not in (select n_nationkey from nations)
+union all
+select 'no_outgoing', 'error', 'nation', 'n_nationkey', cast(n_nationkey as varchar)
+from nation where n_nationkey not in (select from_nation from e)
+union all
+select 'no_incoming', 'error', 'nation', 'n_nationkey', cast(n_nationkey as varchar)
+from nation where n_nationkey not in (select to_nation from e)
+union all
+select 'pair_without_edge', 'error', 'routes', 'station',
+       cast(route as varchar) || ',' || cast(from_station as varchar) || ',' || cast(to_station as varchar)
+from pairs p where not exists (select 1 from e where e.from_nation = p.from_station and e.to_nation = p.to_station)
+""")
+def dq_config_refs(spark, d):
+    from tramline.plans.integrity import route_pairs
+    t = Tables(spark, d)
+    # filtered sides are the feature: they create the undefined references
+    regions = t.region.where(F.col("r_name") != "ASIA").select(F.col("r_regionkey").alias("n_regionkey"))
+    nations = t.nation.where(F.col("n_name") != "GERMANY").select(F.col("n_nationkey").alias("s_nationkey"))
+    edges = _trade_edges(spark, d)
+    nat = t.nation.select("n_nationkey", "n_regionkey")
+    outgoing = edges.select(F.col("from_nation").alias("n_nationkey")).distinct()
+    incoming = edges.select(F.col("to_nation").alias("n_nationkey")).distinct()
+    routes = t.nation.select(F.col("n_regionkey").alias("route_id"), F.col("n_nationkey").alias("stop_sequence"),
+                             F.col("n_nationkey").alias("station_id"))
+    gaps = route_pairs(routes, wrap=False).join(
+        edges.select(F.col("from_nation").alias("from_station"), F.col("to_nation").alias("to_station")),
+        ["from_station", "to_station"], "left_anti")
+    return checks.suite(
+        checks.missing(nat, F.broadcast(regions), "n_regionkey", "undefined_region", "nation", ["n_nationkey"],
+                       "n_regionkey"),
+        checks.missing(t.supplier, F.broadcast(nations), "s_nationkey", "undefined_nation", "supplier",
+                       ["s_suppkey"], "s_nationkey"),
+        checks.missing(nat, outgoing, "n_nationkey", "no_outgoing", "nation", ["n_nationkey"]),
+        checks.missing(nat, incoming, "n_nationkey", "no_incoming", "nation", ["n_nationkey"]),
+        checks._frame(gaps, "pair_without_edge", "routes", "station",
+                      F.concat_ws(",", "route", "from_station", "to_station")))
+
+
 # streaming entries register themselves into CATALOG
 from tramline.plans import stream_catalog  # noqa: E402,F401

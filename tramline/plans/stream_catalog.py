@@ -18,7 +18,7 @@ from tramline.schemas import EventTable
 from tramline.session import scratch_path
 from tramline.sources.landing import LandingStore
 from tramline.sources.tables import load_table
-from tramline.streaming.ingest import file_source, start_ingest, to_messages
+from tramline.streaming.ingest import start_ingest, to_messages
 from tramline.streaming.stateful import latest_per_key, transition_waits
 
 # Fixed value: the split that delivers the second half of January first.
@@ -51,26 +51,59 @@ def _to_parquet(out: str, mode: str = "append"):
     return sink
 
 
-@register("stream_upsert", ("O-T1", "O-T2", "O-T7", "O-S4", "O-S5", "O-S6", "O-S7", "O-S8", "O-S12"), """
+@register("stream_upsert", ("O-T1", "O-T2", "O-T4", "O-T7", "O-S3", "O-S4", "O-S5", "O-S6", "O-S7", "O-S8",
+                            "O-S11", "O-S12"), """
 select e.user_id, e.event_id, e.event_type, cast(e.value as decimal(15,2)) as value, f.first_event_id, f.n_writes
 from events e join (select user_id, max(event_id) as last_id, min(event_id) as first_event_id, count(*) as n_writes
                     from events group by user_id) f on e.event_id = f.last_id
 """)
 def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
+    from tramline.streaming.ingest import MESSAGE_SCHEMA
+    from tramline.streaming.live import publish_frames, read_published
     events = load_table(spark, d, "events")
     msgs = _replay_parquet(spark, to_messages(events, "events", offset_col="event_id"), "msgs")
-    from tramline.streaming.ingest import MESSAGE_SCHEMA
     source = spark.readStream.schema(MESSAGE_SCHEMA).parquet(msgs)
     store = LandingStore(spark, scratch_path(spark, "landing"))
-    _run(start_ingest(source, store, scratch_path(spark, "ckpt"), topics={"events": EVENTS_TABLE}))
-    w = store.writes(EVENTS_TABLE)
+    out = scratch_path(spark, "published")
+
+    def refresh(batch_id: int) -> None:
+        # the live product of this stream: the upserted state per user
+        publish_frames(spark, {"user_state": _upserted(store.at(batch_id))}, out, batch_id)
+
+    _run(start_ingest(source, store, scratch_path(spark, "ckpt"), topics={"events": EVENTS_TABLE},
+                      on_committed=refresh))
+    return read_published(spark, out, "user_state")
+
+
+def _upserted(store: LandingStore) -> DataFrame:
     from tramline.operators.upsert import merge_latest
+    w = store.writes(EVENTS_TABLE)
     merged = merge_latest(w.withColumn("first_event_id", F.col("event_id")), ["user_id"], ["_batch", "_offset"],
                           ["event_id", "event_type", "value"], first_cols=["first_event_id"], count_alias="n_writes")
     return merged.select("user_id", "event_id", "event_type", F.col("value").cast("decimal(15,2)").alias("value"),
                          "first_event_id", "n_writes")
 
 
+@register("purge_replay", ("O-S9", "O-S3", "O-S7"), f"""
+select e.user_id, e.event_id, e.event_type, cast(e.value as decimal(15,2)) as value, f.first_event_id, f.n_writes
+from events e join (select user_id, max(event_id) as last_id, min(event_id) as first_event_id, count(*) as n_writes
+                    from events where ts >= timestamp '{LATE_SPLIT}' group by user_id) f on e.event_id = f.last_id
+""")
+def purge_replay(spark: SparkSession, d: str) -> DataFrame:
+    from tramline.streaming.ingest import parse_topic
+    events = load_table(spark, d, "events")
+    split = F.lit(LATE_SPLIT).cast("timestamp_ntz")
+    store = LandingStore(spark, scratch_path(spark, "landing"))
+    # batch 0: the first half; purged; batch 1: the second half
+    for batch_id, part in enumerate([events.where(F.col("ts") < split), events.where(F.col("ts") >= split)]):
+        store.append(EVENTS_TABLE, parse_topic(to_messages(part, "events", offset_col="event_id"), EVENTS_TABLE),
+                     batch_id)
+        store.commit(batch_id)
+        if batch_id == 0:
+            store.purge(0)
+    return _upserted(store)
+
+
 @register("stream_latest", ("O-T3", "O-W1"), """
 select user_id, event_id, event_type, epoch_us(ts) as ts_us
 from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from events) t

@@ -31,17 +31,25 @@ def snapshot_events(store: LandingStore, seed: tp.Events | None = None) -> tp.Ev
     return tp.stage_events(seed, live)
 
 
+def publish_frames(spark: SparkSession, frames: dict, out: str, batch_id: int) -> None:
+    """Write named frames as version ``batch_id`` of each mart, then the marker.
+
+    The marker is written last: readers never see a half-published set.
+    """
+    for name, df in frames.items():
+        df.write.mode("overwrite").parquet(f"{out}/{name}/batch={batch_id}")
+    spark.range(1).select(F.lit(batch_id).cast("long").alias("published")) \
+        .write.mode("overwrite").json(f"{out}/_published/batch={batch_id}")
+
+
 def publish(spark: SparkSession, store: LandingStore, net: tp.Network, out: str, batch_id: int,
             marts: Iterable[str] = LIVE_MARTS, seed: tp.Events | None = None) -> None:
+    """Refresh the transit marts from the snapshot at ``batch_id``."""
     snap = store.at(batch_id)
     ev = snapshot_events(snap, seed)
     cached = tp.Events(**{k: getattr(ev, k).persist() for k in _EVENTS_FROM_TABLE})
     try:
-        for name in marts:
-            df = tp.ALL_PRODUCTS[name](cached, net)
-            df.write.mode("overwrite").parquet(f"{out}/{name}/batch={batch_id}")
-        spark.range(1).select(F.lit(batch_id).cast("long").alias("published")) \
-            .write.mode("overwrite").json(f"{out}/_published/batch={batch_id}")
+        publish_frames(spark, {name: tp.ALL_PRODUCTS[name](cached, net) for name in marts}, out, batch_id)
     finally:
         for k in _EVENTS_FROM_TABLE:
             getattr(cached, k).unpersist()
