@@ -10,13 +10,17 @@ from pyspark.sql import functions as F
 from tramline.operators.sequence import attach, first_in_group, neighbors
 
 
-def with_global_max(df: DataFrame, column: str, alias: str) -> DataFrame:
+def with_global_max(df: DataFrame, column: str, alias: str, source: DataFrame | None = None,
+                    source_column: str | None = None) -> DataFrame:
     """Add ``max(column)`` over the whole frame as a constant column.
 
     Written as a scalar subquery instead of ``max() over ()``, which would
-    pull every row into a single task.
+    pull every row into a single task. ``source`` may give a cheaper frame
+    with the same maximum (e.g. per-key totals for a running sum of
+    non-negative values), so the subquery does not recompute ``df``.
     """
-    return df.withColumn(alias, df.select(F.max(column)).scalar())
+    src = df if source is None else source
+    return df.withColumn(alias, src.select(F.max(source_column or column)).scalar())
 
 
 def circular_gap(df: DataFrame, part: Sequence[str], position: str, ident: str,

@@ -51,8 +51,16 @@ def _splittable(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
 
 
+def with_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Add the ``_chunk`` column once, so several sequence operators over the same
+    keys and order can share it (pass ``prechunked=True``); drop it at the end."""
+    return _chunked(df, keys, order)
+
+
 def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Add a deterministic ``_chunk`` id that splits hot keys along ``order[0]``."""
+    if CHUNK in df.columns:
+        return df
     keys = list(keys)
     first = order[0]
     if not _splittable(df.schema[first].dataType):
@@ -79,6 +87,7 @@ def _dedupe(*groups: Sequence[str]) -> list[str]:
 
 def neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str],
               direction: str = "prev", prefix: str | None = None, bounded: bool = False) -> DataFrame:
+    # a frame that already carries ``_chunk`` (see ``with_chunks``) keeps it
     """Add ``<prefix><col>`` = value of ``col`` on the previous (``prev``) or
     next (``next``) row of the same key by ``order``; null at the ends.
 

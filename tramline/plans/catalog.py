@@ -246,11 +246,16 @@ from (select conv_id, turn, role, lag(role) over w as prev_role,
       from conversations window w as (partition by conv_id order by turn)) t
 """)
 def route_topology_q(spark, d):
-    c = Tables(spark, d).conversations.select("conv_id", "turn", "role", F.length("text").cast("long").alias("n"))
+    from tramline.operators.sequence import with_chunks
+    base = Tables(spark, d).conversations.select("conv_id", "turn", "role",
+                                                 F.length("text").cast("long").alias("n"))
+    c = with_chunks(base, ["conv_id"], ["turn"])  # shared by both sequence operators
     c = neighbors(c, ["conv_id"], ["turn"], ["role"], "prev")
     c = running_total(c, ["conv_id"], ["turn"], "n", "running_chars")
     c = c.select("conv_id", "turn", "role", "prev_role", "running_chars")
-    return with_global_max(c, "running_chars", "max_running_chars")
+    # lengths are non-negative: the largest running total is the largest per-key total
+    totals = base.groupBy("conv_id").agg(F.sum("n").alias("total"))
+    return with_global_max(c, "running_chars", "max_running_chars", totals, "total")
 
 
 @register("topology_edges", ("O-W8", "O-F4", "O-M14"), """
