@@ -45,3 +45,15 @@ def test_strings_are_not_split(spark):
     df = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (1, "c", 3)], "k int, s string, v int")
     got = [r.prev_v for r in neighbors(df, ["k"], ["s"], ["v"], "prev").orderBy("s").collect()]
     assert got == [None, 1, 2]
+
+
+def test_null_keys_stay_whole(spark):
+    rows = [(None, t, t * 10) for t in range(12)] + [(1, t, t) for t in range(12)]
+    df = spark.createDataFrame(rows, "k int, t int, v int")
+    for direction in ("prev", "next"):
+        a = neighbors(df, ["k"], ["t"], ["v"], direction)
+        b = neighbors(df, ["k"], ["t"], ["v"], direction, bounded=True)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    a = running_total(df, ["k"], ["t"], "v", "cum")
+    b = running_total(df, ["k"], ["t"], "v", "cum", bounded=True)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -67,7 +67,9 @@ def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFr
         return df.withColumn(CHUNK, F.lit(0))
     chunk_rows = _conf_int(df, "tramline.sequence.chunkRows", DEFAULT_CHUNK_ROWS)
     hot_keys = _conf_int(df, "tramline.sequence.hotKeys", DEFAULT_HOT_KEYS)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # rows with a null key part are never split: their group stays one chunk
+    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    counts = df.where(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     # top-k by size: a bounded table (at most hot_keys rows), safe to broadcast
     hot = counts.where(F.col("_n") > chunk_rows).orderBy(F.desc("_n")).limit(hot_keys).select(*keys)
     pct = F.array(*[F.lit(i / SPLITS) for i in range(1, SPLITS)])
@@ -115,10 +117,9 @@ def neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns:
         CHUNK, *keys,
         shift("_end").over(Window.partitionBy(*keys).orderBy(CHUNK)).alias("_carry"))
 
-    joined = local.join(carry.withColumnsRenamed({k: f"_k_{k}" for k in [CHUNK, *keys]}),
-                        reduce(lambda a, b: a & b,
-                               [local[c].eqNullSafe(F.col(f"_k_{c}")) for c in [CHUNK, *keys]]),
-                        "left")
+    # plain equi-join on the window's own partitioning keys: the large side is
+    # not shuffled again (null keys are never split, so they need no carry)
+    joined = local.join(carry, [CHUNK, *keys], "left")
     fixed = [F.when(F.col("_edge"), F.col(f"_carry.{c}")).otherwise(F.col(prefix + c)).alias(prefix + c)
              for c in columns]
     return joined.select(*base_cols, *fixed)
@@ -139,12 +140,8 @@ def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
     local = ch.withColumn("_local", F.sum(value).over(w))
     totals = local.groupBy(CHUNK, *keys).agg(F.sum(value).alias("_tot"))
     before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(CHUNK, *[F.col(k).alias(f"_k_{k}") for k in keys],
-                            F.sum("_tot").over(before).alias("_offset"))
-    offsets = offsets.withColumnRenamed(CHUNK, f"_k_{CHUNK}")
-    joined = local.join(offsets, reduce(lambda a, b: a & b,
-                                        [local[c].eqNullSafe(F.col(f"_k_{c}")) for c in [CHUNK, *keys]]),
-                        "left")
+    offsets = totals.select(CHUNK, *keys, F.sum("_tot").over(before).alias("_offset"))
+    joined = local.join(offsets, [CHUNK, *keys], "left")
     total = F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0).cast(df.schema[value].dataType))
     return joined.select(*base_cols, total.alias(alias))
 
