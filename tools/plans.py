@@ -24,7 +24,7 @@ def summarize(text: str) -> dict:
     ops = re.findall(r"^\(\d+\) ([A-Za-z]+)", text, re.M)
     count = lambda name: sum(1 for o in ops if o == name)
     scans = []
-    for block in re.split(r"\n\n", text):
+    for block in (b.strip() for b in re.split(r"\n\n", text)):
         if block.startswith("(") and "Scan parquet" in block.splitlines()[0]:
             loc = re.search(r"Location: \w+ \[(.*?)\]", block)
             rs = re.search(r"ReadSchema: struct<(.*)>", block)
