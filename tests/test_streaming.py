@@ -133,3 +133,45 @@ def test_stateful_waits_match_batch(spark, scratch):
     got = sorted((r.key, r.wait) for r in spark.read.parquet(out).where("kind = 'wait'").collect())
     want = sorted((r.pid, r.wait_time_ticks) for r in completed_waits(df, "pid", "tick", "train", "station").collect())
     assert got == want == [(7, 4), (7, 9), (8, 4), (9, 4)]
+
+
+def test_idle_state_expires(spark, scratch):
+    """A key idle beyond the retention is forgotten: its next row starts fresh."""
+    from tramline.streaming.stateful import transition_waits
+    src_dir = os.path.join(scratch, "src")
+    schema = "pid long, ts timestamp_ntz, kind string"
+
+    os.makedirs(src_dir, exist_ok=True)
+
+    def deliver(name, rows):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        pid, ts, kind = zip(*rows)
+        table = pa.table({"pid": pa.array(pid, pa.int64()), "ts": pa.array(ts, pa.timestamp("us")),
+                          "kind": pa.array(kind, pa.string())})
+        pq.write_table(table, os.path.join(src_dir, f"{name}.parquet"))
+
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1, 8, 0)
+    m = lambda k: t0 + dt.timedelta(minutes=k)
+    stream = spark.readStream.schema(schema).parquet(src_dir)
+    waits = transition_waits(stream, "pid", F.timestamp_diff("MINUTE", F.lit(t0).cast("timestamp_ntz"), F.col("ts")),
+                             "pid", F.col("kind") == "wait", F.col("kind") == "ride",
+                             event_time="ts", watermark="1 minute", retention_ms=10 * 60 * 1000)
+    out, ck = os.path.join(scratch, "out"), os.path.join(scratch, "ck")
+
+    def run():
+        _run(waits.writeStream.foreachBatch(lambda b, i: b.write.mode("append").parquet(out))
+             .option("checkpointLocation", ck).trigger(availableNow=True).start())
+
+    deliver("a", [(1, m(0), "wait"), (2, m(0), "wait")])
+    run()
+    deliver("b", [(2, m(3), "ride"), (3, m(60), "wait")])   # watermark moves to 59 min
+    run()
+    deliver("c", [(3, m(61), "wait")])                        # a batch after the watermark moved: pid 1 times out
+    run()
+    deliver("d", [(1, m(62), "ride"), (3, m(65), "ride")])
+    run()
+    got = sorted((r.key, r.wait) for r in spark.read.parquet(out).where("kind = 'wait'").collect())
+    # pid 2 waited 3 minutes; pid 1's wait state expired, so no 62-minute wait; pid 3 waited 4
+    assert got == [(2, 3), (3, 4)]

@@ -24,45 +24,93 @@ STATE_SCHEMA = "last_t long, last_tb long, last_start boolean"
 OUT_SCHEMA = "key long, t long, tb long, wait long, kind string"
 
 
-def _waits_fn(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+def _walk(key: tuple, batches: Iterator[pd.DataFrame], state) -> tuple[list, tuple | None]:
+    """Fold one key's rows of a micro-batch into the state; return output rows."""
     pdf = pd.concat(list(batches), ignore_index=True).sort_values(["_t", "_tb"], kind="mergesort")
     if state.exists:
-        last_t, last_tb, last_start = state.get
+        last_t, last_tb, last_start = state.get[:3]
         have = True
     else:
         last_t, last_tb, last_start, have = None, None, None, False
-    out_t, out_tb, out_wait, out_kind = [], [], [], []
+    out = []
     for t, tb, start, end in zip(pdf["_t"].tolist(), pdf["_tb"].tolist(), pdf["_start"].tolist(),
                                  pdf["_end"].tolist()):
         if have and (t, tb) <= (last_t, last_tb):
-            out_t.append(t), out_tb.append(tb), out_wait.append(None), out_kind.append("late")
+            out.append((t, tb, None, "late"))
             continue
         if have and end and last_start:
-            out_t.append(t), out_tb.append(tb), out_wait.append(t - last_t), out_kind.append("wait")
+            out.append((t, tb, t - last_t, "wait"))
         last_t, last_tb, last_start, have = t, tb, bool(start), True
-    if have:
-        state.update((int(last_t), int(last_tb), bool(last_start)))
-    if out_t:
-        yield pd.DataFrame({"key": [key[0]] * len(out_t), "t": out_t, "tb": out_tb,
-                            "wait": pd.array(out_wait, dtype="Int64"), "kind": out_kind})
+    newest_ms = int(pdf["_et"].max()) if "_et" in pdf and len(pdf) else None
+    return out, ((int(last_t), int(last_tb), bool(last_start)) if have else None), newest_ms
+
+
+def _emit(key: tuple, out: list) -> Iterator[pd.DataFrame]:
+    if out:
+        t, tb, wait, kind = zip(*out)
+        yield pd.DataFrame({"key": [key[0]] * len(out), "t": list(t), "tb": list(tb),
+                            "wait": pd.array(list(wait), dtype="Int64"), "kind": list(kind)})
+
+
+def _waits_fn(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+    out, new_state, _ = _walk(key, batches, state)
+    if new_state is not None:
+        state.update(new_state)
+    yield from _emit(key, out)
+
+
+def _waits_fn_expiring(retention_ms: int, key: tuple, batches: Iterator[pd.DataFrame],
+                       state) -> Iterator[pd.DataFrame]:
+    """As ``_waits_fn``; a key idle for ``retention_ms`` of event time is dropped."""
+    if state.hasTimedOut:
+        state.remove()
+        return
+    out, new_state, newest_ms = _walk(key, batches, state)
+    if new_state is not None:
+        seen_ms = max(newest_ms or 0, state.get[3] if state.exists else 0)
+        state.update((*new_state, seen_ms))
+        deadline = max(seen_ms + retention_ms, state.getCurrentWatermarkMs() + 1)
+        state.setTimeoutTimestamp(deadline)
+    yield from _emit(key, out)
 
 
-def transition_waits(stream: DataFrame, key: str, t: Column | str, tiebreak: str, is_start, is_end) -> DataFrame:
+def transition_waits(stream: DataFrame, key: str, t: Column | str, tiebreak: str, is_start, is_end,
+                     event_time: str | None = None, watermark: str | None = None,
+                     retention_ms: int | None = None) -> DataFrame:
     """Per key, in (t, tiebreak) order: a row with ``is_end`` right after a row
     with ``is_start`` emits ``t - t_start``.
 
     Output: ``key, t, tb, wait, kind`` where kind is ``wait`` or ``late``.
     Pandas runs once per key and micro-batch on Arrow batches; the per-key
-    state is three numbers.
+    state is three numbers. Bound the micro-batch size (``maxOffsetsPerTrigger``
+    / ``maxFilesPerTrigger``) so one key's rows of a batch stay small.
+
+    With ``event_time``, ``watermark`` and ``retention_ms``, state expires: a
+    key with no rows for ``retention_ms`` of event time (past the watermark)
+    is forgotten, so the state store holds active keys only.
     """
+    from functools import partial
+
     from tramline.session import ship_package
     ship_package(stream.sparkSession)
     tcol = F.col(t) if isinstance(t, str) else t
-    prepared = stream.select(F.col(key).cast("long").alias(key), tcol.cast("long").alias("_t"),
-                             F.col(tiebreak).cast("long").alias("_tb"),
-                             is_start.cast("boolean").alias("_start"), is_end.cast("boolean").alias("_end"))
-    return prepared.groupBy(key).applyInPandasWithState(_waits_fn, OUT_SCHEMA, STATE_SCHEMA, "append",
-                                                        GroupStateTimeout.NoTimeout)
+    cols = [F.col(key).cast("long").alias(key), tcol.cast("long").alias("_t"),
+            F.col(tiebreak).cast("long").alias("_tb"),
+            is_start.cast("boolean").alias("_start"), is_end.cast("boolean").alias("_end")]
+    expiring = event_time is not None and watermark is not None and retention_ms is not None
+    if not expiring:
+        prepared = stream.select(*cols)
+        return prepared.groupBy(key).applyInPandasWithState(_waits_fn, OUT_SCHEMA, STATE_SCHEMA, "append",
+                                                            GroupStateTimeout.NoTimeout)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    ev = F.col(event_time)
+    ntz = ev.cast("timestamp_ntz")
+    prepared = stream.select(*cols, ev.cast("timestamp").alias("_event_ts"),
+                             F.timestamp_diff("MILLISECOND", epoch, ntz).alias("_et"))
+    prepared = prepared.withWatermark("_event_ts", watermark)
+    return prepared.groupBy(key).applyInPandasWithState(
+        partial(_waits_fn_expiring, retention_ms), OUT_SCHEMA, STATE_SCHEMA + ", seen_ms long", "append",
+        GroupStateTimeout.EventTimeTimeout)
 
 
 def latest_per_key(stream: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
