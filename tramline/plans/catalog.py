@@ -450,16 +450,26 @@ def crowding_rank(spark, d):
 
 
 @register("ordered_collect", ("O-A11", "O-J10", "O-A9", "O-A10"), """
-select r.r_name, string_agg(n.n_name, ',' order by n.n_nationkey) as nation_list, count(*) as n
-from nation n join region r on n.n_regionkey = r.r_regionkey group by r.r_name
+with counts as (select c_nationkey, count(*) as n from customer group by c_nationkey)
+select r.r_name,
+       string_agg(n.n_name || ':' || cast(coalesce(c.n, 0) as varchar), ',' order by n.n_nationkey) as nation_list,
+       cast(sum(coalesce(c.n, 0)) as bigint) as n_customers
+from nation n join region r on n.n_regionkey = r.r_regionkey
+left join counts c on c.c_nationkey = n.n_nationkey
+group by r.r_name
 """)
 def ordered_collect(spark, d):
     t = Tables(spark, d)
-    # nations per region: a fixed 25-row dimension, so the list is bounded
-    x = t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
-    lists = ordered_list(x, ["r_name"], "n_nationkey", "n_name", "nations")
-    return lists.select("r_name", F.array_join("nations", ",").alias("nation_list"),
-                        F.size("nations").cast("long").alias("n"))
+    counts = t.customer.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("n"))
+    # nations per region: a fixed 25-row dimension, so each list is bounded
+    x = t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey")) \
+        .join(counts, "n_nationkey", "left") \
+        .withColumn("n", F.coalesce(F.col("n"), F.lit(0)).cast("long")) \
+        .withColumn("entry", F.concat_ws(":", "n_name", F.col("n").cast("string")))
+    lists = ordered_list(x, ["r_name"], "n_nationkey", "entry", "nations")
+    totals = x.groupBy("r_name").agg(F.sum("n").cast("long").alias("n_customers"))
+    return lists.join(totals, "r_name").select("r_name", F.array_join("nations", ",").alias("nation_list"),
+                                               "n_customers")
 
 
 # ---------------------------------------------------------------------------
