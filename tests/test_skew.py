@@ -17,7 +17,9 @@ def test_hot_key_is_split(spark):
     spark.conf.set("tramline.sequence.chunkRows", "1000")
     try:
         df = _skewed(spark)
-        sizes = _chunked(df, ["k"], ["t"]).groupBy("k", CHUNK).count()
+        chunked, split = _chunked(df, ["k"], ["t"])
+        assert split
+        sizes = chunked.groupBy("k", CHUNK).count()
         biggest = sizes.agg(F.max("count")).first()[0]
         hot_chunks = sizes.where("k = 0").count()
         assert hot_chunks > 100
@@ -57,3 +59,16 @@ def test_null_keys_stay_whole(spark):
     a = running_total(df, ["k"], ["t"], "v", "cum")
     b = running_total(df, ["k"], ["t"], "v", "cum", bounded=True)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_no_hot_keys_means_plain_window(spark):
+    spark.conf.set("tramline.sequence.chunkRows", "1000000")
+    try:
+        df = _skewed(spark, 2000)
+        _, split = _chunked(df, ["k"], ["t"])
+        assert not split
+        a = neighbors(df, ["k"], ["t"], ["v"], "prev")
+        b = neighbors(df, ["k"], ["t"], ["v"], "prev", bounded=True)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    finally:
+        spark.conf.set("tramline.sequence.chunkRows", "4")

@@ -51,33 +51,56 @@ def _splittable(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
 
 
-def with_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Add the ``_chunk`` column once, so several sequence operators over the same
-    keys and order can share it (pass ``prechunked=True``); drop it at the end."""
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """The keys with more than ``chunkRows`` rows, heaviest first, at most
+    ``hotKeys`` of them; ``None`` when there are none.
+
+    A grouped count (partial aggregate) whose bounded result -- a list of at
+    most ``hotKeys`` keys -- is brought to the driver as a planning statistic,
+    the way AQE uses runtime sizes. It decides whether a sequence operator
+    needs chunks at all.
+    """
+    keys = list(keys)
+    chunk_rows = _conf_int(df, "tramline.sequence.chunkRows", DEFAULT_CHUNK_ROWS)
+    limit = _conf_int(df, "tramline.sequence.hotKeys", DEFAULT_HOT_KEYS)
+    # rows with a null key part are never split: their group stays one chunk
+    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    counts = df.where(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.where(F.col("_n") > chunk_rows).orderBy(F.desc("_n")).limit(limit).select(*keys)
+    rows = top.collect()
+    if not rows:
+        return None
+    return df.sparkSession.createDataFrame(rows, top.schema)
+
+
+def with_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, bool]:
+    """Decide chunking once for several sequence operators over the same keys
+    and order. Returns ``(frame, split)``: pass ``split=`` to the operators and
+    drop ``_chunk`` at the end (it is only present when ``split``)."""
     return _chunked(df, keys, order)
 
 
-def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Add a deterministic ``_chunk`` id that splits hot keys along ``order[0]``."""
+def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, bool]:
+    """Add a deterministic ``_chunk`` id that splits hot keys along ``order[0]``.
+
+    Returns ``(df, False)`` unchanged when no key needs splitting (or the
+    first ordering column has no numeric order to cut at).
+    """
     if CHUNK in df.columns:
-        return df
+        return df, True
     keys = list(keys)
     first = order[0]
     if not _splittable(df.schema[first].dataType):
-        return df.withColumn(CHUNK, F.lit(0))
-    chunk_rows = _conf_int(df, "tramline.sequence.chunkRows", DEFAULT_CHUNK_ROWS)
-    hot_keys = _conf_int(df, "tramline.sequence.hotKeys", DEFAULT_HOT_KEYS)
-    # rows with a null key part are never split: their group stays one chunk
-    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    counts = df.where(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    # top-k by size: a bounded table (at most hot_keys rows), safe to broadcast
-    hot = counts.where(F.col("_n") > chunk_rows).orderBy(F.desc("_n")).limit(hot_keys).select(*keys)
+        return df, False
+    hot = hot_keys(df, keys)
+    if hot is None:
+        return df, False
     pct = F.array(*[F.lit(i / SPLITS) for i in range(1, SPLITS)])
     bounds = (df.join(F.broadcast(hot), keys, "left_semi")
               .groupBy(*keys).agg(F.percentile_approx(first, pct, 10000).alias("_bounds")))
     tagged = attach(df, F.broadcast(bounds), keys)
     chunk = F.coalesce(F.size(F.filter(F.col("_bounds"), lambda b: b <= F.col(first))), F.lit(0))
-    return tagged.withColumn(CHUNK, chunk).drop("_bounds")
+    return tagged.withColumn(CHUNK, chunk).drop("_bounds"), True
 
 
 def _dedupe(*groups: Sequence[str]) -> list[str]:
@@ -88,24 +111,27 @@ def _dedupe(*groups: Sequence[str]) -> list[str]:
 
 
 def neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str],
-              direction: str = "prev", prefix: str | None = None, bounded: bool = False) -> DataFrame:
-    # a frame that already carries ``_chunk`` (see ``with_chunks``) keeps it
+              direction: str = "prev", prefix: str | None = None, bounded: bool = False,
+              split: bool | None = None) -> DataFrame:
     """Add ``<prefix><col>`` = value of ``col`` on the previous (``prev``) or
     next (``next``) row of the same key by ``order``; null at the ends.
 
     ``order`` must be a total order within a key (add tie-breaks) so results
-    are deterministic.
+    are deterministic. ``split`` comes from ``with_chunks`` when chunking was
+    decided once for several operators.
     """
     keys, order, columns = list(keys), list(order), list(columns)
     prefix = prefix if prefix is not None else f"{direction}_"
     shift = F.lag if direction == "prev" else F.lead
     base_cols = df.columns
 
+    if not bounded:
+        ch, split = (df, split) if split is not None else _chunked(df, keys, order)
+        bounded = not split
     if bounded:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.select("*", *[shift(c).over(w).alias(prefix + c) for c in columns])
 
-    ch = _chunked(df, keys, order)
     w = Window.partitionBy(CHUNK, *keys).orderBy(*order)
     local = ch.select("*", *[shift(c).over(w).alias(prefix + c) for c in columns],
                       shift(F.lit(True)).over(w).isNull().alias("_edge"))
@@ -126,16 +152,18 @@ def neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns:
 
 
 def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-                  alias: str | None = None, bounded: bool = False) -> DataFrame:
+                  alias: str | None = None, bounded: bool = False, split: bool | None = None) -> DataFrame:
     """Add the sum of ``value`` from the key's first row through the current row."""
     keys, order = list(keys), list(order)
     alias = alias or f"running_{value}"
+    base_cols = df.columns
+    if not bounded:
+        ch, split = (df, split) if split is not None else _chunked(df, keys, order)
+        bounded = not split
     if bounded:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(alias, F.sum(value).over(w))
 
-    base_cols = df.columns
-    ch = _chunked(df, keys, order)
     w = Window.partitionBy(CHUNK, *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ch.withColumn("_local", F.sum(value).over(w))
     totals = local.groupBy(CHUNK, *keys).agg(F.sum(value).alias("_tot"))

@@ -249,9 +249,9 @@ def route_topology_q(spark, d):
     from tramline.operators.sequence import with_chunks
     base = Tables(spark, d).conversations.select("conv_id", "turn", "role",
                                                  F.length("text").cast("long").alias("n"))
-    c = with_chunks(base, ["conv_id"], ["turn"])  # shared by both sequence operators
-    c = neighbors(c, ["conv_id"], ["turn"], ["role"], "prev")
-    c = running_total(c, ["conv_id"], ["turn"], "n", "running_chars")
+    c, split = with_chunks(base, ["conv_id"], ["turn"])  # decided once for both sequence operators
+    c = neighbors(c, ["conv_id"], ["turn"], ["role"], "prev", split=split)
+    c = running_total(c, ["conv_id"], ["turn"], "n", "running_chars", split=split)
     c = c.select("conv_id", "turn", "role", "prev_role", "running_chars")
     # lengths are non-negative: the largest running total is the largest per-key total
     totals = base.groupBy("conv_id").agg(F.sum("n").alias("total"))
