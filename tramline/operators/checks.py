@@ -24,8 +24,9 @@ def _entity(cols: Sequence[str]) -> Column:
     return parts[0] if len(parts) == 1 else F.concat_ws(",", *parts)
 
 
-def _frame(df: DataFrame, check_id: str, table: str, column: str, entity: Column, severity: str = "error",
-           extra: Sequence[Column] = ()) -> DataFrame:
+def frame(df: DataFrame, check_id: str, table: str, column: str, entity: Column, severity: str = "error",
+          extra: Sequence[Column] = ()) -> DataFrame:
+    """Shape violating rows into the common check frame."""
     return df.select(F.lit(check_id).alias("check_id"), F.lit(severity).alias("severity"),
                      F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
                      entity.alias("entity"), *extra)
@@ -34,7 +35,7 @@ def _frame(df: DataFrame, check_id: str, table: str, column: str, entity: Column
 def not_null(df: DataFrame, table: str, columns: Sequence[str], entity: Sequence[str],
              severity: str = "error") -> DataFrame:
     """One row per (row, column) where the column is null."""
-    frames = [_frame(df.where(F.col(c).isNull()), "not_null", table, c, _entity(entity), severity)
+    frames = [frame(df.where(F.col(c).isNull()), "not_null", table, c, _entity(entity), severity)
               for c in columns]
     return reduce(DataFrame.unionByName, frames)
 
@@ -52,20 +53,20 @@ def unique(df: DataFrame, table: str, columns: Sequence[str], entity_expr: Colum
     counted = present.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
     dup = counted.where(F.col("n") > 1)
     check_id = "unique" if len(cols) == 1 else "unique_combination"
-    return _frame(dup, check_id, table, ",".join(cols), ent, severity, [F.col("n")])
+    return frame(dup, check_id, table, ",".join(cols), ent, severity, [F.col("n")])
 
 
 def missing(left: DataFrame, right: DataFrame, on: Sequence[str] | Column, check_id: str, table: str,
             entity: Sequence[str], column: str = "", severity: str = "error") -> DataFrame:
     """Rows of ``left`` without a match in ``right`` (anti join)."""
     orphans = left.join(right, on, "left_anti")
-    return _frame(orphans, check_id, table, column or ",".join(entity), _entity(entity), severity)
+    return frame(orphans, check_id, table, column or ",".join(entity), _entity(entity), severity)
 
 
 def is_empty(df: DataFrame, check_id: str, table: str) -> DataFrame:
     """One row when ``df`` has no rows (a one-row aggregate, no collect)."""
     counted = df.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == 0)
-    return _frame(counted, check_id, table, "", F.lit(table))
+    return frame(counted, check_id, table, "", F.lit(table))
 
 
 def asymmetric_edges(edges: DataFrame, src: str, dst: str) -> DataFrame:
@@ -87,7 +88,7 @@ def invalid_transitions(df: DataFrame, keys: Sequence[str], order: Sequence[str]
     prev = F.col(f"_prev_{state}")
     bad = seq.where(prev.isNotNull() & (prev != F.col(state))
                     & (F.coalesce(succ[prev], F.lit("")) != F.col(state)))
-    return _frame(bad, "invalid_transition", "", state, _entity(entity),
+    return frame(bad, "invalid_transition", "", state, _entity(entity),
                   extra=[*[F.col(c) for c in entity], prev.alias("prev_type"), F.col(state)])
 
 

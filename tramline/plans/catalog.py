@@ -1023,8 +1023,8 @@ def dq_state_codes(spark, d):
     st = F.when(F.col("o_orderstatus") == "F", F.col("o_custkey"))
     unlocated = t.orders.where(seg.isNull() & st.isNull())
     return checks.suite(
-        checks._frame(unknown, "unknown_code", "events", "event_type", F.col("event_id").cast("string")),
-        checks._frame(unlocated, "unlocated", "orders", "o_orderstatus", F.col("o_orderkey").cast("string")))
+        checks.frame(unknown, "unknown_code", "events", "event_type", F.col("event_id").cast("string")),
+        checks.frame(unlocated, "unlocated", "orders", "o_orderstatus", F.col("o_orderkey").cast("string")))
 
 
 @register("dq_config_refs", ("O-Q11", "O-Q19", "O-Q20", "O-Q21"), f"""
@@ -1060,8 +1060,13 @@ def dq_config_refs(spark, d):
     nations = t.nation.where(F.col("n_name") != "GERMANY").select(F.col("n_nationkey").alias("s_nationkey"))
     edges = _trade_edges(spark, d)
     nat = t.nation.select("n_nationkey", "n_regionkey")
-    outgoing = edges.select(F.col("from_nation").alias("n_nationkey")).distinct()
-    incoming = edges.select(F.col("to_nation").alias("n_nationkey")).distinct()
+    # in- and out-degree per nation in one aggregation over the edge set
+    ends = edges.select(F.explode(F.array(
+        F.struct(F.col("from_nation").alias("n_nationkey"), F.lit(1).alias("o"), F.lit(0).alias("i")),
+        F.struct(F.col("to_nation").alias("n_nationkey"), F.lit(0).alias("o"), F.lit(1).alias("i")))).alias("e"))
+    degree = ends.select("e.*").groupBy("n_nationkey").agg(F.sum("o").alias("out_deg"), F.sum("i").alias("in_deg"))
+    outgoing = degree.where(F.col("out_deg") > 0).select("n_nationkey")
+    incoming = degree.where(F.col("in_deg") > 0).select("n_nationkey")
     routes = t.nation.select(F.col("n_regionkey").alias("route_id"), F.col("n_nationkey").alias("stop_sequence"),
                              F.col("n_nationkey").alias("station_id"))
     gaps = route_pairs(routes, wrap=False).join(
@@ -1074,7 +1079,7 @@ def dq_config_refs(spark, d):
                        ["s_suppkey"], "s_nationkey"),
         checks.missing(nat, outgoing, "n_nationkey", "no_outgoing", "nation", ["n_nationkey"]),
         checks.missing(nat, incoming, "n_nationkey", "no_incoming", "nation", ["n_nationkey"]),
-        checks._frame(gaps, "pair_without_edge", "routes", "station",
+        checks.frame(gaps, "pair_without_edge", "routes", "station",
                       F.concat_ws(",", "route", "from_station", "to_station")))
 
 

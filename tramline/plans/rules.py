@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramline.functions import next_in_cycle
@@ -148,14 +148,10 @@ def travel_ticks(segments: DataFrame, distance: str = "distance_km", speed: str
 
 def route_travel_ticks(routes: DataFrame, segments: DataFrame) -> DataFrame:
     """O-R9 per route leg: cumulative ticks from the route's first stop."""
-    from tramline.operators.sequence import neighbors as _nb
-    legs = _nb(routes, ["route_id"], ["stop_sequence"], ["station_id"], "prev", prefix="from_", bounded=True)
+    legs = neighbors(routes, ["route_id"], ["stop_sequence"], ["station_id"], "prev", prefix="from_", bounded=True)
     seg = travel_ticks(segments).select(F.col("from_station_id").alias("from_station_id"),
                                         F.col("to_station_id").alias("station_id"), "travel_ticks")
     j = legs.join(F.broadcast(seg), ["from_station_id", "station_id"], "left") \
         .withColumn("travel_ticks", F.coalesce(F.col("travel_ticks"), F.lit(0)).cast("long"))
     return running_total(j, ["route_id"], ["stop_sequence"], "travel_ticks", "ticks_from_start", bounded=True)
 
-
-def clip_nonnegative(c: Column) -> Column:
-    return F.greatest(c, F.lit(0))

@@ -88,6 +88,3 @@ def ship_package(spark: SparkSession) -> None:
     sc.addPyFile(archive)
     _SHIPPED.add(key)
 
-
-def local_dir_exists(path: str) -> bool:
-    return os.path.isdir(path.replace("file:", ""))
