@@ -29,12 +29,37 @@ DEFAULT_CONF = {
 }
 
 
+# Sizing for a large cluster (about 1000 executors, ~100 TB of Parquet input).
+# Scan splits of 256 MB give ~400k map tasks over 100 TB; AQE starts shuffles
+# at 20k partitions and coalesces toward 256 MB each, so a reduce partition
+# fits comfortably in an executor's memory and spills cleanly if not; skewed
+# join partitions are split past 5x the median. A sequence-operator key is
+# split once it exceeds 5M rows (roughly one 256 MB task of event rows).
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": "256MB",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    "spark.sql.autoBroadcastJoinThreshold": "32MB",
+    "spark.sql.broadcastTimeout": "600",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    "tramline.sequence.chunkRows": "5000000",
+    "tramline.sequence.hotKeys": "1024",
+}
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app: str = "tramline", extra: dict | None = None) -> SparkSession:
+              app: str = "tramline", extra: dict | None = None, profile: str = "local") -> SparkSession:
+    """Build (or get) the session. ``profile="cluster"`` applies ``CLUSTER_CONF``."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
