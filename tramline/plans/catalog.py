@@ -1083,5 +1083,22 @@ def dq_config_refs(spark, d):
                       F.concat_ws(",", "route", "from_station", "to_station")))
 
 
+@register("axis_bounds", ("O-A13", "O-S10"), f"""
+with c as (select event_type, count(*) as n from events group by event_type),
+w as ({_WAITS_SQL})
+select cast(coalesce(nullif((select max(n) from c), 0), 10) as bigint) as crowd_axis_max,
+       greatest(cast(20 as double),
+                cast((select max(wait_us // 1000000) from w) as double) * cast(1.2 as double)) as wait_axis_max
+""")
+def axis_bounds(spark, d):
+    from tramline.plans.serve import axis_max, padded_axis
+    counts = Tables(spark, d).events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    secs = _waits(spark, d).select((F.col("wait_us") / F.lit(1000000)).cast("long").alias("s"))
+    crowd = counts.agg(axis_max("n", 10).cast("long").alias("crowd_axis_max"))
+    wait = secs.agg(padded_axis("s", 20.0, 1.2).alias("wait_axis_max"))
+    # two one-row aggregates
+    return crowd.crossJoin(wait)
+
+
 # streaming entries register themselves into CATALOG
 from tramline.plans import stream_catalog  # noqa: E402,F401

@@ -42,3 +42,15 @@ def shape(mart: str, df: DataFrame) -> DataFrame:
 def fetch(mart: str, df: DataFrame):
     """pandas frame of a shaped mart (Arrow transfer)."""
     return shape(mart, df).toPandas()
+
+
+def axis_max(column: str, fallback: float):
+    """Aggregate: the column maximum, or ``fallback`` when it is missing or 0."""
+    from pyspark.sql import functions as F
+    return F.coalesce(F.nullif(F.max(column), F.lit(0)), F.lit(fallback))
+
+
+def padded_axis(column: str, floor: float, factor: float):
+    """Aggregate: ``max(floor, factor * max(column))`` (``floor`` when empty)."""
+    from pyspark.sql import functions as F
+    return F.greatest(F.lit(floor), F.max(column) * F.lit(factor))
