@@ -25,10 +25,32 @@ _EVENTS_FROM_TABLE = {"world_clock": "world_clock_state", "train_state": "train_
                       "platform_state": "platform_state", "station_stats": "station_passenger_stats"}
 
 
-def snapshot_events(store: LandingStore, seed: tp.Events | None = None) -> tp.Events:
-    """Upserted event tables as one ``Events`` bundle (seed rows unioned in)."""
-    live = tp.Events(**{f: store.state(EVENT_TABLES[t]) for f, t in _EVENTS_FROM_TABLE.items()})
-    return tp.stage_events(seed, live)
+# logs the live marts read only through the short look-back window
+_RECENT_ONLY = ("train_state", "rail_segment_state", "station_stats", "platform_state")
+
+
+def snapshot_events(store: LandingStore, seed: tp.Events | None = None, lookback: int | None = None) -> tp.Events:
+    """Upserted event tables as one ``Events`` bundle (seed rows unioned in).
+
+    With ``lookback``, the train, segment, station and platform logs are read
+    from ``now - lookback`` on only: the bound is a scalar subquery over the
+    clock, and it prunes ``tick_bucket`` folders. The passenger log stays
+    whole (wait times use all history).
+    """
+    clock = store.state(EVENT_TABLES["world_clock_state"])
+    bound = None
+    if lookback is not None:
+        ticks = clock.select("clock_tick")
+        if seed is not None:
+            ticks = ticks.unionByName(seed.world_clock.select(F.col("clock_tick").cast("int")))
+        bound = ticks.select(F.coalesce(F.max("clock_tick"), F.lit(0)) - F.lit(lookback)).scalar()
+    live = {}
+    for f, t in _EVENTS_FROM_TABLE.items():
+        if f == "world_clock":
+            live[f] = clock
+        else:
+            live[f] = store.state(EVENT_TABLES[t], min_tick=bound if f in _RECENT_ONLY else None)
+    return tp.stage_events(seed, tp.Events(**live))
 
 
 def publish_frames(spark: SparkSession, frames: dict, out: str, batch_id: int) -> None:
@@ -46,7 +68,7 @@ def publish(spark: SparkSession, store: LandingStore, net: tp.Network, out: str,
             marts: Iterable[str] = LIVE_MARTS, seed: tp.Events | None = None) -> None:
     """Refresh the transit marts from the snapshot at ``batch_id``."""
     snap = store.at(batch_id)
-    ev = snapshot_events(snap, seed)
+    ev = snapshot_events(snap, seed, lookback=tp.RECENT_TICKS)
     cached = tp.Events(**{k: getattr(ev, k).persist() for k in _EVENTS_FROM_TABLE})
     try:
         publish_frames(spark, {name: tp.ALL_PRODUCTS[name](cached, net) for name in marts}, out, batch_id)
