@@ -141,3 +141,36 @@ def test_fetch_edge(spark, shipped):
     net, ev = shipped
     pdf = fetch("live_train_positions", tp.live_train_positions(ev, net))
     assert list(pdf.columns)[:2] == ["train_id", "route_id"] and len(pdf) == 11
+
+
+def test_compaction_keeps_state(spark, scratch):
+    from tramline.schemas import EVENT_TABLES
+    from tramline.sources.landing import LandingStore
+    from tramline.streaming.ingest import parse_topic
+    t = EVENT_TABLES["train_state"]
+
+    def msgs(rows):
+        return spark.createDataFrame(
+            [("train_status", '{"clock_tick": %d, "train_id": %d, "segment_id": 1, "station_id": null, '
+              '"stops_seen_so_far": [1], "passenger_count": %d}' % (tick, tid, n), 0, off)
+             for off, (tick, tid, n) in enumerate(rows)], "topic string, value string, partition int, offset long")
+
+    batches = [[(1, 7, 1), (1, 8, 1), (2, 7, 2)], [(2, 7, 3), (2000, 8, 4)], [(1, 7, 9), (3000, 9, 5)]]
+    plain = LandingStore(spark, os.path.join(scratch, "plain"))
+    comp = LandingStore(spark, os.path.join(scratch, "comp"))
+    for b, rows in enumerate(batches):
+        for store in (plain, comp):
+            store.append(t, parse_topic(msgs(rows), t), b)
+            store.commit(b)
+        if b == 1:
+            comp.compact(t, 1)
+            comp.compact(t, 1)  # idempotent
+    cols = ["clock_tick", "train_id", "passenger_count"]
+    want = sorted(tuple(r) for r in plain.state(t).select(*cols).collect())
+    assert sorted(tuple(r) for r in comp.state(t).select(*cols).collect()) == want
+    assert want == [(1, 7, 9), (1, 8, 1), (2, 7, 3), (2000, 8, 4), (3000, 9, 5)]
+    # reads after compaction: one snapshot row per key + the later batch
+    assert comp.writes(t).count() == 4 + 2 and plain.writes(t).count() == 7
+    # the snapshot as of batch 0 ignores the compaction at 1
+    assert sorted(tuple(r) for r in comp.at(0).state(t).select(*cols).collect()) == \
+        [(1, 7, 1), (1, 8, 1), (2, 7, 2)]

@@ -16,6 +16,10 @@ Layout under a base folder (any Hadoop file system path)::
 * The upsert (last write wins per natural key, first ``created_at`` kept) is
   applied on read by ``merge_latest`` -- a partial aggregate -- ordered by
   ``(_batch, _offset)``.
+* ``compact(table, upto)`` writes the merged state as of a committed batch to
+  ``_compacted/<table>/upto=<id>`` and then a marker; reads merge that
+  snapshot (one row per key) with the later batches only, so read cost
+  follows the live data, not the length of the log.
 """
 
 from __future__ import annotations
@@ -83,18 +87,63 @@ class LandingStore:
         commits = self.spark.read.schema("committed long, batch long").json(f"{self.base}/_commits")
         return commits.select(F.coalesce(F.max("batch"), F.lit(-1)).cast("long")).scalar()
 
+    def _bucketed(self, table: EventTable) -> bool:
+        return "clock_tick" in table.schema.fieldNames()
+
+    def _last_compaction(self, table: EventTable, bound, purge):
+        """Scalar subquery: the newest compaction usable under ``bound`` (-1 when none)."""
+        path = f"{self.base}/_compactions/{table.name}"
+        if not path_exists(self.spark, path):
+            return F.lit(-1).cast("long")
+        marks = self.spark.read.schema("compacted long, upto long").json(path)
+        usable = marks.where((F.col("upto") <= bound) & (F.col("upto") > purge))
+        return usable.select(F.coalesce(F.max("upto"), F.lit(-1)).cast("long")).scalar()
+
     def writes(self, table: EventTable) -> DataFrame:
-        """All committed writes of a table, with ``_batch`` and ``_offset``."""
+        """All committed writes of a table, with ``_batch`` and ``_offset``
+        (batches covered by a compaction come from its snapshot)."""
         path = f"{self.base}/{table.name}"
         schema = T.StructType(list(table.schema.fields)).add("_offset", "long").add("batch", "long")
-        if "clock_tick" in table.schema.fieldNames():
+        if self._bucketed(table):
             schema = schema.add("tick_bucket", "integer")
         if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], schema).withColumnRenamed("batch", "_batch")
         df = self.spark.read.schema(schema).option("basePath", path).parquet(path)
         df = df.withColumnRenamed("batch", "_batch")
         bound = F.lit(self.upto).cast("long") if self.upto is not None else self.last_committed()
-        return df.where((F.col("_batch") <= bound) & (F.col("_batch") > self.last_purge()))
+        purge = self.last_purge()
+        compacted = self._last_compaction(table, bound, purge)
+        recent = df.where((F.col("_batch") <= bound) & (F.col("_batch") > purge) & (F.col("_batch") > compacted))
+        snap_path = f"{self.base}/_compacted/{table.name}"
+        if not path_exists(self.spark, snap_path):
+            return recent
+        snap_schema = T.StructType(list(table.schema.fields)).add("_offset", "long").add("_src_batch", "long") \
+            .add("upto", "long")
+        if self._bucketed(table):
+            snap_schema = snap_schema.add("tick_bucket", "integer")
+        snap = self.spark.read.schema(snap_schema).option("basePath", snap_path).parquet(snap_path)
+        snap = snap.where(F.col("upto") == compacted).withColumnRenamed("_src_batch", "_batch").drop("upto")
+        return recent.unionByName(snap)
+
+    def compact(self, table: EventTable, upto: int) -> None:
+        """Write the merged state as of committed batch ``upto``, then its marker.
+
+        Idempotent: a repeated compaction rewrites the same folder. The winning
+        write keeps its own ``(_batch, _offset)``, so later batches still win.
+        """
+        as_of = LandingStore(self.spark, self.base, upto)
+        w = as_of.writes(table)
+        merged = merge_latest(w, table.keys, ["_batch", "_offset"], [*table.payload, "_batch", "_offset"],
+                              first_cols=["created_at"])
+        out = merged.withColumnRenamed("_batch", "_src_batch")
+        dest = f"{self.base}/_compacted/{table.name}/upto={upto}"
+        if self._bucketed(table):
+            out = out.withColumn("tick_bucket", F.floor(F.col("clock_tick") / F.lit(BUCKET)).cast("int"))
+            out.write.mode("overwrite").partitionBy("tick_bucket").parquet(dest)
+        else:
+            out.write.mode("overwrite").parquet(dest)
+        marker = self.spark.range(1).select(F.lit(upto).cast("long").alias("compacted"))
+        marker.write.mode("overwrite").json(f"{self.base}/_compactions/{table.name}/upto={upto}")
 
     def state(self, table: EventTable, min_tick=None) -> DataFrame:
         """The upserted table: one row per natural key, last write wins.

@@ -62,8 +62,9 @@ def parse_topic(batch: DataFrame, table: EventTable) -> DataFrame:
 
 
 def route_batch(store: LandingStore, on_committed: Callable[[int], None] | None = None,
-                topics: dict[str, EventTable] | None = None):
-    """The ``foreachBatch`` function: route, append, commit, then publish."""
+                topics: dict[str, EventTable] | None = None, compact_every: int | None = None):
+    """The ``foreachBatch`` function: route, append, commit, publish, and every
+    ``compact_every`` batches compact each table (bounds read cost)."""
     topics = topics or TOPIC_TO_TABLE
     known = list(topics)
 
@@ -80,16 +81,19 @@ def route_batch(store: LandingStore, on_committed: Callable[[int], None] | None
             batch.unpersist()
         if on_committed is not None:
             on_committed(batch_id)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            for table in topics.values():
+                store.compact(table, batch_id)
 
     return run
 
 
 def start_ingest(source: DataFrame, store: LandingStore, checkpoint: str, available_now: bool = True,
                  processing_time: str | None = None, on_committed: Callable[[int], None] | None = None,
-                 topics: dict[str, EventTable] | None = None):
+                 topics: dict[str, EventTable] | None = None, compact_every: int | None = None):
     """Start the ingest query; the checkpoint makes restarts resume, and a new
     checkpoint with an ``earliest`` source replays everything (backfill)."""
-    w = source.writeStream.foreachBatch(route_batch(store, on_committed, topics)) \
+    w = source.writeStream.foreachBatch(route_batch(store, on_committed, topics, compact_every)) \
         .option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)
