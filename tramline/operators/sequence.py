@@ -6,15 +6,17 @@ event-volume inputs these operators therefore work in *chunks*:
 
 1. count rows per key (a partial aggregate) and take the heaviest keys above
    ``tramline.sequence.chunkRows`` -- at most ``tramline.sequence.hotKeys``
-   of them, a bounded table that is broadcast;
-2. for those keys only, approximate quantiles of the first ordering column
+   of them. This bounded list is read as a planning statistic; when it is
+   empty no key needs splitting and the plain window is used (it is exact);
+2. for the hot keys only, approximate quantiles of the first ordering column
    give up to ``SPLITS`` chunk bounds; a row's chunk is the number of bounds
    at or below its value. Every other key is one chunk. Chunk ids are a pure
    function of the data, so every branch of the plan (and every retry of a
    lost task) computes the same ids;
 3. the window runs inside ``(key, chunk)`` groups -- one shuffle;
 4. rows at chunk edges are fixed from a per-(key, chunk) summary (one row
-   per chunk, windowed per key over at most ``SPLITS`` rows).
+   per chunk, windowed per key over at most ``SPLITS`` rows), joined on the
+   window's own partitioning keys so the large side is not shuffled again.
 
 Keys outside the hot list hold at most 1/(hotKeys+1) of the rows each, and
 a hot key is cut into up to ``SPLITS`` pieces, so no group is more than a
