@@ -111,14 +111,21 @@ where rn = 1
 """)
 def stream_latest(spark: SparkSession, d: str) -> DataFrame:
     events = load_table(spark, d, "events").select("user_id", "event_id", "event_type", "ts")
-    src = spark.readStream.schema(events.schema).parquet(_replay_parquet(spark, events, "events"))
+    # delivered as four files, one per micro-batch
+    folder = _replay_parquet(spark, events.repartitionByRange(4, "ts"), "events")
+    src = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
     latest = latest_per_key(src, ["user_id"], ["ts", "event_id"], ["event_id", "event_type", "ts"])
     out = scratch_path(spark, "latest")
-    _run(latest.writeStream.outputMode("complete").foreachBatch(_to_parquet(out, "overwrite"))
+
+    def changed_keys(df: DataFrame, batch_id: int) -> None:
+        # update mode: only keys whose latest row changed, one idempotent folder per batch
+        df.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    _run(latest.writeStream.outputMode("update").foreachBatch(changed_keys)
          .option("checkpointLocation", scratch_path(spark, "ckpt")).trigger(availableNow=True).start())
-    got = spark.read.parquet(out)
-    return got.select("user_id", "event_id", "event_type",
-                      us("ts").alias("ts_us"))
+    from tramline.operators.state import latest_by_key
+    got = latest_by_key(spark.read.parquet(out), ["user_id"], ["ts", "event_id"], ["event_id", "event_type", "ts"])
+    return got.select("user_id", "event_id", "event_type", us("ts").alias("ts_us"))
 
 
 def _waits_stream(spark: SparkSession, src: DataFrame, out: str, ckpt: str) -> None:
