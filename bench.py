@@ -31,14 +31,19 @@ def main() -> None:
     names = only or list(CATALOG)
     per_query: dict[str, float] = {}
     spread: dict[str, list[float]] = {}
+    errors: dict[str, str] = {}
     for name in names:
         fn = CATALOG[name].fn
-        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
-        times = []
-        for _ in range(runs):
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            times.append(time.perf_counter() - t0)
+        try:
+            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
+            times = []
+            for _ in range(runs):
+                t0 = time.perf_counter()
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                times.append(time.perf_counter() - t0)
+        except Exception as ex:  # keep measuring the others; report the failure
+            errors[name] = f"{type(ex).__name__}: {str(ex)[:300]}"
+            continue
         per_query[name] = round(statistics.median(times), 4)
         spread[name] = [round(min(times), 4), round(max(times), 4)]
 
@@ -55,6 +60,8 @@ def main() -> None:
         "shuffle_partitions": int(spark.conf.get("spark.sql.shuffle.partitions")),
         "spark_version": spark.version,
     }
+    if errors:
+        out["errors"] = errors
     print(json.dumps(out))
     spark.stop()
 
