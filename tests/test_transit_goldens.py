@@ -154,3 +154,28 @@ def test_staged_segment_length_rounds_half_up(spark):
                                  "speed double")
     net = Network(None, None, None, segs)
     assert [r.distance_km for r in staged_segments(net).orderBy("segment_id").collect()] == [8, 7, 1]
+
+
+def test_map_edge_geometry_offsets(shipped):
+    """Corridor North Park - Downtown Central carries routes 1, 2, 3 in order of
+    first appearance: offsets 0, +12, -12 along the edge normal."""
+    import math
+    net, ev = shipped
+    rows = {(r.route_id, tuple(r.corridor)): r for r in tp.map_edge_geometry(net).collect()}
+    corridor = ("Downtown Central", "North Park")
+    got = {route: rows[(route, corridor)] for route in (1, 2, 3)}
+    assert [got[r].offset_index for r in (1, 2, 3)] == [0, 1, 2]
+    # route 1 is drawn unshifted from its first edge North Park -> Downtown Central
+    assert (got[1].x1, got[1].y1, got[1].x2, got[1].y2) == (100.0, 150.0, 350.0, 230.0)
+    for r in (2, 3):
+        # shifted copies are parallel and 12 units from the station-to-station line
+        dx, dy = got[r].x2 - got[r].x1, got[r].y2 - got[r].y1
+        px, py = got[r].x1 - 350.0, got[r].y1 - 230.0
+        dist = abs(dx * py - dy * px) / math.hypot(dx, dy)
+        assert dist == pytest.approx(12.0)
+    assert len(rows) == 6
+
+
+def test_passengers_recent_state(shipped):
+    net, ev = shipped
+    assert tp.passengers_recent_state(ev).count() == 2370
