@@ -199,3 +199,25 @@ def test_shuffled_delivery_same_marts(spark, shipped, scratch):
     waits = {r.metric: float(r.wait_time) for r in read_published(spark, out, "live_wait_times").collect()}
     assert waits == {"Max": 1.0, "Avg": 1.0, "Min": 1.0}
     assert read_published(spark, out, "world_clock").first().clock_tick == 3
+
+
+def test_topic_counts_monitor(spark, scratch):
+    """Windowed counts per topic equal the batch counts once the watermark has passed."""
+    from tramline.streaming.ingest import MESSAGE_SCHEMA
+    from tramline.streaming.monitor import topic_counts
+    msgs = os.path.join(scratch, "msgs")
+    rows = [{"topic": t, "value": "{}", "partition": 0, "offset": i,
+             "timestamp": f"2026-02-23T08:{m:02d}:{s:02d}.000Z"}
+            for i, (t, m, s) in enumerate([("world_clock", 0, 5), ("train_status", 0, 30), ("train_status", 0, 59),
+                                           ("world_clock", 1, 10), ("station_status", 2, 0)])]
+    _write_batches(msgs, [rows, [{"topic": "world_clock", "value": "{}", "partition": 0, "offset": 99,
+                                  "timestamp": "2026-02-23T09:00:00.000Z"}]])
+    out = os.path.join(scratch, "counts")
+    stream = spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", 1).json(msgs)
+    q = (topic_counts(stream, "1 minute", "1 minute").writeStream.outputMode("append")
+         .foreachBatch(lambda b, i: b.write.mode("append").parquet(out))
+         .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start())
+    _run(q)
+    got = sorted((r.window_start.minute, r.topic, r.n) for r in spark.read.parquet(out).collect()
+                 if r.window_start.hour == 8)
+    assert got == [(0, "train_status", 2), (0, "world_clock", 1), (1, "world_clock", 1), (2, "station_status", 1)]

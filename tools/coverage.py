@@ -101,7 +101,7 @@ IMPL = {
     "T5": ("streaming/stateful.py `transition_waits` (applyInPandasWithState)", "stream_waits"),
     "T6": ("late rows routed by `transition_waits`", "stream_late"),
     "T7": ("duplicates merged by key (`merge_latest`)", "stream_upsert"),
-    "T8": ("`F.window` tumbling counts", "event_type_windows"),
+    "T8": ("`F.window` tumbling counts; streaming/monitor.py `topic_counts` (watermarked, append)", "event_type_windows, test_topic_counts_monitor"),
     "Q1": ("operators/checks.py `not_null`", "dq_not_null"),
     "Q2": ("operators/checks.py `unique`", "dq_unique"),
     "Q3": ("operators/checks.py `unique` (combination)", "dq_unique_combo"),
