@@ -170,3 +170,28 @@ def stream_late(spark: SparkSession, d: str) -> DataFrame:
     _waits_stream(spark, src, out, ckpt)
     got = spark.read.schema("key long, t long, tb long, wait long, kind string").parquet(out)
     return got.where(F.col("kind") == "late").select(F.col("key").alias("user_id"), F.col("tb").alias("event_id"))
+
+
+@register("stream_windows", ("O-T8", "O-T1"), """
+select epoch_us(time_bucket(interval 1 day, ts)) as window_start_us, event_type, count(*) as n
+from events group by 1, 2
+""")
+def stream_windows(spark: SparkSession, d: str) -> DataFrame:
+    events = load_table(spark, d, "events").select("event_type", "ts")
+    # one replay delivery: the watermark advances only after the batch, so no
+    # replayed row is late; later deliveries older than the watermark would be
+    src = spark.readStream.schema(events.schema).parquet(_replay_parquet(spark, events, "events"))
+    # event time as an instant built from epoch microseconds: independent of the session time zone
+    timed = src.withColumn("event_ts", F.timestamp_micros(us("ts"))).withWatermark("event_ts", "1 hour")
+    counts = timed.groupBy(F.window("event_ts", "1 day").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    out = scratch_path(spark, "windows")
+
+    def updated(df: DataFrame, batch_id: int) -> None:
+        # update mode: windows whose count changed in this batch
+        df.select(F.unix_micros(F.col("w.start")).alias("window_start_us"), "event_type", "n") \
+            .write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    _run(counts.writeStream.outputMode("update").foreachBatch(updated)
+         .option("checkpointLocation", scratch_path(spark, "ckpt")).trigger(availableNow=True).start())
+    # counts only grow: the last emitted value of a window is its largest
+    return spark.read.parquet(out).groupBy("window_start_us", "event_type").agg(F.max("n").alias("n"))
