@@ -9,7 +9,8 @@ import pytest
 from tests.conftest import SF_SMALL
 from tramline.plans.catalog import CATALOG
 
-STREAMING = {"stream_upsert", "stream_latest", "stream_waits", "stream_late", "purge_replay", "seed_scan"}
+STREAMING = {"stream_upsert", "stream_latest", "stream_waits", "stream_late", "stream_windows", "purge_replay",
+             "seed_scan"}
 # one-row cross joins and the broadcast probe join are the only nested loops
 NESTED_LOOP_OK = {"network_kpis", "kpis_empty", "as_of_plan", "axis_bounds"}
 
