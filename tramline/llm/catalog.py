@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tramline.llm.queries import decontaminate as q3
+from tramline.llm.queries import ngram_join as q1
 from tramline.llm.queries import repetition as q8
+from tramline.llm.queries import secrets as q7
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-for _module in (q8,):
+for _module in (q1, q3, q7, q8):
     QUERIES[_module.NAME] = _module.query
     if _module.SQL:
         ORACLE_SQL[_module.NAME] = _module.SQL

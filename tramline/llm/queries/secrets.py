@@ -1,0 +1,27 @@
+"""op7: secrets in all documents."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tramline.llm.common import documents
+from tramline.llm.secrets import find_secrets, span_list
+
+NAME = "op7_secret_scan"
+
+
+def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(documents(spark, sf_dir))
+
+    def number(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id", *(number(k).alias(f"n_{k}") for k in ("assign", "access", "hex")),
+        F.sha2(span_list(F.col("base")), 256).alias("base_sha256"),
+        span_list(F.concat("base", "added")).alias("spans"))
+
+
+#: The false-discovery cut needs the corpus statistics; tests hold the result against brute force.
+SQL = None
