@@ -158,11 +158,8 @@ class ChunkTokenizer:
         whole[row] = True
         return at, end, whole
 
-    def encode(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids (uint32) of all texts, one after the other, and their n + 1 offsets."""
-        n = len(off) - 1
-        if len(buf) == 0:
-            return np.zeros(0, np.uint32), np.zeros(n + 1, np.int64)
+    def _entries(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Cache entries of the distinct chunks, the chunks' places among them, their rows, and whole-text flags."""
         at, end, whole = self._chunks(buf, off)
         row = np.searchsorted(off, at, side="right") - 1
         keep = ~whole[row]
@@ -180,12 +177,35 @@ class ChunkTokenizer:
             raw = src.tobytes()
             self._learn(hashes[new], [raw[at[k]:end[k]] for k in pick[new].tolist()])
             place = np.searchsorted(self._keys, hashes)
-        entry = self._entry[place][inverse] if len(hashes) else np.zeros(0, np.int64)
+        return self._entry[place] if len(hashes) else np.zeros(0, np.int64), inverse, row, whole
+
+    def _gather(self, entry: np.ndarray, count: np.ndarray) -> np.ndarray:
+        return self._ids[np.repeat(self._at[entry] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))]
+
+    def count(self, buf: np.ndarray, off: np.ndarray, size: int) -> np.ndarray:
+        """How often each of ``size`` ids occurs in all texts."""
+        out = np.zeros(size, np.int64)
+        if len(buf) == 0:
+            return out
+        entry, inverse, _, whole = self._entries(buf, off)
+        count = self._len[entry]
+        times = np.repeat(np.bincount(inverse, minlength=len(entry)), count)
+        out += np.bincount(self._gather(entry, count), weights=times, minlength=size).astype(np.int64)
+        raw = buf.tobytes() if whole.any() else b""
+        for k in np.flatnonzero(whole).tolist():
+            out += np.bincount(self.whole(raw[off[k]:off[k + 1]].decode()), minlength=size)
+        return out
+
+    def encode(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids (uint32) of all texts, one after the other, and their n + 1 offsets."""
+        n = len(off) - 1
+        if len(buf) == 0:
+            return np.zeros(0, np.uint32), np.zeros(n + 1, np.int64)
+        entry, inverse, row, whole = self._entries(buf, off)
+        entry = entry[inverse]
         count = self._len[entry]
-        per_text = np.bincount(row, weights=count, minlength=n).astype(np.int64) if len(row) else np.zeros(n, np.int64)
-        total = int(count.sum())
-        from_ = np.repeat(self._at[entry] - (np.cumsum(count) - count), count) + np.arange(total)
-        ids = self._ids[from_]
+        per_text = np.bincount(row, weights=count, minlength=n).astype(np.int64)
+        ids = self._gather(entry, count)
         if whole.any():
             pieces, at_id = [], np.concatenate([[0], np.cumsum(per_text)])
             raw = buf.tobytes()
