@@ -110,6 +110,14 @@ RAIL_SEGMENT_STATE_CSV = '''segment_id,clock_tick,trains_present
 
 PASSENGER_SEED_COUNT = 2370
 
+# Our own fixture; the shipped seeds have no itinerary.
+PASSENGER_ITINERARY_CSV = """id,passenger_route_id,start_arrival_hour,arrival_minute,travel_code
+1,1,7,30,M
+1,2,17,30,M
+2,2,8,0,M
+3,1,9,15,S
+"""
+
 
 def passenger_state_csv() -> str:
     rows = ["clock_tick,passenger_id,train_id,station_id,stops_seen_so_far"]
@@ -127,6 +135,7 @@ SEEDS = {
     "world_clock_state": WORLD_CLOCK_CSV,
     "train_state": TRAIN_STATE_CSV,
     "rail_segment_state": RAIL_SEGMENT_STATE_CSV,
+    "passenger_itinerary": PASSENGER_ITINERARY_CSV,
 }
 
 

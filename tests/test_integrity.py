@@ -72,11 +72,11 @@ def test_two_trains_one_platform(shipped):
 
 def test_passenger_checks(shipped, spark):
     net, ev = shipped
-    itinerary = spark.createDataFrame([(1, 1, 8, 30, "M"), (2, 9, 8, 30, "M"), (3, 1, 9, 0, "X"),
-                                       (99999, 1, 7, 0, "T")], PASSENGER_ITINERARY)
+    itinerary = spark.createDataFrame([(1, 1, 7, 30, "M"), (1, 2, 8, 30, "M"), (2, 9, 8, 30, "M"),
+                                       (3, 1, 9, 0, "X"), (4, 1, 9, 0, "M"), (99999, 1, 7, 0, "T")], PASSENGER_ITINERARY)
     ps = ev.passenger_state.withColumn(
         "station_id", F.when(F.col("passenger_id") == 1, F.lit(4)).otherwise(F.col("station_id"))) \
-        .withColumn("stops_seen_so_far", F.when(F.col("passenger_id") == 1, F.array(F.lit(2)))
+        .withColumn("stops_seen_so_far", F.when(F.col("passenger_id").isin(1, 4), F.array(F.lit(2)))
                     .otherwise(F.col("stops_seen_so_far")))
     got = ids(ig.run_all(replace(net, passenger_itinerary=itinerary), replace(ev, passenger_state=ps)))
     assert ("itinerary_unknown_route", "2") in got
@@ -84,6 +84,33 @@ def test_passenger_checks(shipped, spark):
     assert ("passenger_without_state", "99999") in got
     assert ("passenger_off_route", "1") in got
     assert ("passenger_history_not_on_route", "1") in got
+    assert ("passenger_without_past_plan", "4") in got  # today's only plan starts later
+    assert ("passenger_lost", "4") in got
+
+
+def test_two_plans_on_two_routes_are_no_violation(shipped, spark):
+    """Only the plan that runs now counts: a valid passenger with a second plan is not reported."""
+    net, ev = shipped
+    itinerary = spark.createDataFrame([(1, 1, 7, 30, "M"), (1, 2, 17, 30, "M")], PASSENGER_ITINERARY)
+    first = net.passenger_routes.where("route_id = 1").orderBy("stop_sequence").first().station_id
+    ps = ev.passenger_state.withColumn(
+        "station_id", F.when(F.col("passenger_id") == 1, F.lit(first)).otherwise(F.col("station_id"))) \
+        .withColumn("stops_seen_so_far", F.when(F.col("passenger_id") == 1, F.array(F.lit(first)))
+                    .otherwise(F.col("stops_seen_so_far")))
+    assert ids(ig.run_all(replace(net, passenger_itinerary=itinerary), replace(ev, passenger_state=ps))) == set()
+
+
+def test_a_train_listed_twice_is_found(shipped):
+    net, ev = shipped
+    twice = ev.rail_segment_state.withColumn("trains_present", F.concat("trains_present", "trains_present"))
+    got = ids(ig.q14_segment_lists(replace(ev, rail_segment_state=twice)))
+    assert any(e.startswith("12,204") for _, e in got)
+
+
+def test_checks_need_the_passenger_tables(shipped):
+    net, ev = shipped
+    with pytest.raises(ValueError, match="passenger_itinerary"):
+        ig.run_all(replace(net, passenger_itinerary=None), ev)
 
 
 def test_empty_clock(shipped):

@@ -2,7 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from tramline.operators.sequence import CHUNK, _chunked, neighbors, running_total
+import random
+
+import pytest
+
+from tramline.operators.sequence import CHUNK, neighbors, running_total, with_chunks
 
 
 def _skewed(spark, n=20000):
@@ -17,13 +21,12 @@ def test_hot_key_is_split(spark):
     spark.conf.set("tramline.sequence.chunkRows", "1000")
     try:
         df = _skewed(spark)
-        chunked, split = _chunked(df, ["k"], ["t"])
-        assert split
+        chunked = with_chunks(df, ["k"], ["t"])
         sizes = chunked.groupBy("k", CHUNK).count()
         biggest = sizes.agg(F.max("count")).first()[0]
         hot_chunks = sizes.where("k = 0").count()
-        assert hot_chunks > 100
-        assert biggest < 18000 / 50
+        assert hot_chunks == 20  # a chunk for every thousand rows
+        assert biggest <= 1000
     finally:
         spark.conf.set("tramline.sequence.chunkRows", "4")
 
@@ -43,12 +46,38 @@ def test_chunked_equals_plain(spark):
         spark.conf.set("tramline.sequence.chunkRows", "4")
 
 
-def test_strings_are_not_split(spark):
+def test_text_order_needs_a_number(spark):
     df = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (1, "c", 3)], "k int, s string, v int")
-    got = [r.prev_v for r in neighbors(df, ["k"], ["s"], ["v"], "prev").orderBy("s").collect()]
+    with pytest.raises(TypeError, match="dense number"):
+        neighbors(df, ["k"], ["s"], ["v"], "prev")
+    got = [r.prev_v for r in neighbors(df, ["k"], ["s"], ["v"], "prev", bounded=True).orderBy("s").collect()]
     assert got == [None, 1, 2]
 
 
+@pytest.mark.parametrize("rows_per_chunk", ["3", "1000000"])
+def test_nulls_and_ties_equal_plain_windows(spark, rows_per_chunk):
+    """Null keys, null and tied order values, null values: the same rows as the plain window, cut or not."""
+    r = random.Random(11)
+    pick = lambda n: None if r.random() < 0.2 else r.randrange(n)
+    rows = [(pick(3), pick(9), i, pick(50)) for i in range(300)] + [(7, i, i, None) for i in range(9)]
+    df = spark.createDataFrame(rows, "k int, t int, tie int, v int")
+    spark.conf.set("tramline.sequence.chunkRows", rows_per_chunk)
+    try:
+        for f in (lambda b: neighbors(df, ["k"], ["t", "tie"], ["v", "t"], "prev", bounded=b),
+                  lambda b: neighbors(df, ["k"], ["t", "tie"], ["v"], "next", bounded=b),
+                  lambda b: running_total(df, ["k"], ["t", "tie"], "v", "cum", bounded=b)):
+            assert f(False).exceptAll(f(True)).count() == 0 and f(True).exceptAll(f(False)).count() == 0
+    finally:
+        spark.conf.set("tramline.sequence.chunkRows", "4")
+
+
+def test_building_a_frame_starts_no_job(spark):
+    df = _skewed(spark, 100)
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    running_total(neighbors(df, ["k"], ["t"], ["v"], "prev"), ["k"], ["t"], "v", "cum")
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+
+
 def test_null_keys_stay_whole(spark):
     rows = [(None, t, t * 10) for t in range(12)] + [(1, t, t) for t in range(12)]
     df = spark.createDataFrame(rows, "k int, t int, v int")
@@ -59,16 +88,3 @@ def test_null_keys_stay_whole(spark):
     a = running_total(df, ["k"], ["t"], "v", "cum")
     b = running_total(df, ["k"], ["t"], "v", "cum", bounded=True)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-
-
-def test_no_hot_keys_means_plain_window(spark):
-    spark.conf.set("tramline.sequence.chunkRows", "1000000")
-    try:
-        df = _skewed(spark, 2000)
-        _, split = _chunked(df, ["k"], ["t"])
-        assert not split
-        a = neighbors(df, ["k"], ["t"], ["v"], "prev")
-        b = neighbors(df, ["k"], ["t"], ["v"], "prev", bounded=True)
-        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    finally:
-        spark.conf.set("tramline.sequence.chunkRows", "4")

@@ -100,7 +100,7 @@ def test_ingest_publish_replay(spark, shipped, scratch):
     assert (clock.clock_tick, clock.minute) == (3, 2)
 
     # replay from scratch with a new checkpoint (compacting after each batch):
-    # same batch ids, same state
+    # a later epoch, same state
     before = {n: _rows(store.state(t).drop("created_at")) for n, t in EVENT_TABLES.items()}
     _run(start_ingest(file_source(spark, msgs, max_files=1), store, os.path.join(scratch, "ck2"), compact_every=1))
     assert {n: _rows(store.state(t).drop("created_at")) for n, t in EVENT_TABLES.items()} == before
@@ -110,6 +110,49 @@ def test_ingest_publish_replay(spark, shipped, scratch):
     assert store.writes(EVENT_TABLES["train_state"]).count() == 1
 
 
+def _clock(minute, partition, offset, second):
+    return {"topic": "world_clock", "partition": partition, "offset": offset,
+            "timestamp": f"2026-02-23T08:00:{second:02d}.000Z", "value": json.dumps(
+                {"clock_tick": 1, "year": 2026, "day_of_year": 54, "day_of_week": "M", "hour_of_day": 8, "minute": minute})}
+
+
+def _minutes(store):
+    return [r.minute for r in store.state(EVENT_TABLES["world_clock_state"]).collect()]
+
+
+def test_newer_message_wins_across_partitions(spark, scratch):
+    msgs = os.path.join(scratch, "msgs")
+    _write_batches(msgs, [[_clock(1, 1, 0, 10), _clock(59, 0, 0, 30)]])
+    store = LandingStore(spark, os.path.join(scratch, "landing"))
+    _run(start_ingest(file_source(spark, msgs), store, os.path.join(scratch, "ck")))
+    assert _minutes(store) == [59]
+
+
+def test_replay_with_other_batches_and_run_after_purge(spark, scratch):
+    msgs = os.path.join(scratch, "msgs")
+    _write_batches(msgs, [[_clock(1, 0, 0, 1)], [_clock(2, 0, 1, 2)], [_clock(3, 0, 2, 3)]])
+    store = LandingStore(spark, os.path.join(scratch, "landing"))
+    _run(start_ingest(file_source(spark, msgs, max_files=1), store, os.path.join(scratch, "ck1")))
+    assert _minutes(store) == [3]
+    # a replay in one batch, and one more message: leftover batches of the first run do not outrank it
+    _write_batches(msgs + "2", [[_clock(1, 0, 0, 1), _clock(2, 0, 1, 2), _clock(3, 0, 2, 3), _clock(44, 0, 3, 4)]])
+    _run(start_ingest(file_source(spark, msgs + "2"), store, os.path.join(scratch, "ck2")))
+    assert _minutes(store) == [44]
+    store.purge(store.run(os.path.join(scratch, "ck2")).sequence(0))
+    assert _minutes(store) == []
+    _run(start_ingest(file_source(spark, msgs, max_files=1), store, os.path.join(scratch, "ck3")))
+    assert _minutes(store) == [3]
+
+
+def test_null_topic_fails(spark, scratch):
+    msgs = os.path.join(scratch, "bad")
+    _write_batches(msgs, [[{"topic": None, "value": "{}", "partition": 0, "offset": 0}]])
+    store = LandingStore(spark, os.path.join(scratch, "landing"))
+    q = start_ingest(file_source(spark, msgs), store, os.path.join(scratch, "ck"))
+    with pytest.raises(Exception, match="unknown topic"):
+        q.awaitTermination()
+
+
 def test_unknown_topic_fails(spark, scratch):
     msgs = os.path.join(scratch, "bad")
     _write_batches(msgs, [[{"topic": "bogus", "value": "{}", "partition": 0, "offset": 0}]])

@@ -70,10 +70,24 @@ def is_empty(df: DataFrame, check_id: str, table: str) -> DataFrame:
 
 
 def asymmetric_edges(edges: DataFrame, src: str, dst: str) -> DataFrame:
-    """Distinct edges ``a -> b`` whose reverse ``b -> a`` is absent."""
-    e = edges.select(src, dst).distinct()
-    rev = e.select(F.col(dst).alias(src), F.col(src).alias(dst))
-    return e.join(rev, [src, dst], "left_anti")
+    """Distinct edges ``a -> b`` whose reverse ``b -> a`` is absent.
+
+    One aggregation over unordered pairs, with a flag for each direction; the
+    edges are read once. Loops are their own reverse; edges with a null end
+    have no reverse.
+    """
+    a, b = F.col(src), F.col(dst)
+    forward = F.when(a.isNull() | b.isNull(), a.isNotNull()).otherwise(a <= b)
+    pairs = edges.groupBy(F.least(a, b).alias("_lo"), F.greatest(a, b).alias("_hi"),
+                          F.when(a.isNull() | b.isNull(), forward).alias("_null_side")).agg(
+        F.max(forward).alias("_f"), F.max(a >= b).alias("_b"))
+    one = pairs.where(F.col("_null_side").isNotNull() | (F.col("_f") != F.col("_b")))
+    known = F.col("_null_side").isNull()
+    return one.select(
+        F.when(known, F.when(F.col("_f"), F.col("_lo")).otherwise(F.col("_hi")))
+        .when(F.col("_null_side"), F.col("_lo")).alias(src),
+        F.when(known, F.when(F.col("_f"), F.col("_hi")).otherwise(F.col("_lo")))
+        .when(~F.col("_null_side"), F.col("_lo")).alias(dst))
 
 
 def invalid_transitions(df: DataFrame, keys: Sequence[str], order: Sequence[str], state: str,
@@ -108,14 +122,25 @@ def prefix_violations(steps: DataFrame, templates: DataFrame, key: str, route: s
 
 
 def disagreement(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys present on one side only (full outer join), labelled by the side lacking them."""
-    keys = list(keys)
-    left = a.select(*keys).withColumn("_in_a", F.lit(True))
-    right = b.select(*keys).withColumn("_in_b", F.lit(True))
-    j = left.join(right, keys, "full_outer")
-    diff = j.where(F.col("_in_a").isNull() | F.col("_in_b").isNull())
-    return diff.select(*keys, F.when(F.col("_in_a").isNull(), F.lit("missing_in_a"))
-                       .otherwise(F.lit("missing_in_b")).alias("side"))
+    """Keys that the two sides do not have equally often, labelled by the side lacking them.
+
+    Counts are compared, so a key listed twice on one side and once on the
+    other is found; nulls are keys like others.
+    """
+    both = a.select(*keys, F.lit(1).alias("_a"), F.lit(0).alias("_b")).union(
+        b.select(*keys, F.lit(0).alias("_a"), F.lit(1).alias("_b")))
+    return _sides(both.groupBy(*keys).agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b")), keys)
+
+
+def flag_disagreement(df: DataFrame, keys: Sequence[str], in_a, in_b) -> DataFrame:
+    """``disagreement`` of the distinct keys of two filters on one table, in one pass."""
+    return _sides(df.groupBy(*keys).agg(F.max(F.coalesce(in_a, F.lit(False)).cast("int")).alias("_a"),
+                                        F.max(F.coalesce(in_b, F.lit(False)).cast("int")).alias("_b")), keys)
+
+
+def _sides(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return counted.where("_a <> _b").select(*keys, F.when(F.col("_a") < F.col("_b"), F.lit("missing_in_a"))
+                                            .otherwise(F.lit("missing_in_b")).alias("side"))
 
 
 def suite(*frames: DataFrame) -> DataFrame:

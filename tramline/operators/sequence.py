@@ -1,28 +1,26 @@
 """Ordered per-key sequences: previous/next row, running totals, first row.
 
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task, so
-a key holding a third of the log becomes a third of the job on one core. For
-event-volume inputs these operators therefore work in *chunks*:
-
-1. count rows per key (a partial aggregate) and take the heaviest keys above
-   ``tramline.sequence.chunkRows`` -- at most ``tramline.sequence.hotKeys``
-   of them. This bounded list is read as a planning statistic; when it is
-   empty no key needs splitting and the plain window is used (it is exact);
-2. for the hot keys only, approximate quantiles of the first ordering column
-   give up to ``SPLITS`` chunk bounds; a row's chunk is the number of bounds
-   at or below its value. Every other key is one chunk. Chunk ids are a pure
-   function of the data, so every branch of the plan (and every retry of a
-   lost task) computes the same ids;
-3. the window runs inside ``(key, chunk)`` groups -- one shuffle;
-4. rows at chunk edges are fixed from a per-(key, chunk) summary (one row
-   per chunk, windowed per key over at most ``SPLITS`` rows), joined on the
-   window's own partitioning keys so the large side is not shuffled again.
-
-Keys outside the hot list hold at most 1/(hotKeys+1) of the rows each, and
-a hot key is cut into up to ``SPLITS`` pieces, so no group is more than a
-small fraction of the input. ``bounded=True`` skips all of this for inputs
-whose groups are bounded by configuration (a route's stops, a fleet's
-latest state), where one shuffle on the key is the cheaper plan.
+a key holding a third of the log becomes a third of the job on one core. These
+operators therefore always work in *chunks*, by one algorithm for every input:
+
+1. the first ordering column's range over the whole input is cut into equal
+   steps, one for every ``tramline.sequence.chunkRows`` rows; a row's chunk is
+   its step. Range and row count are scalar subqueries of the same query, so
+   building a frame starts no job, and a chunk id is a pure function of the
+   data: every branch of the plan and every retry computes the same ids;
+2. the window runs inside ``(key, chunk)`` groups -- one shuffle;
+3. rows at chunk edges are fixed from a per-(key, chunk) summary (one row per
+   chunk that a key has), windowed per key and joined on the window's own
+   partitioning keys.
+
+No list of keys is made and none is capped: any number of keys of any weight
+are cut alike. Nulls in the first ordering column are a chunk before all
+others, as they sort first. A key can only be cut at distinct values of that
+column, which must be a number, date or time; give text a dense number first.
+``bounded=True`` is for inputs whose groups are bounded by configuration (a
+route's stops, a fleet's latest state), where one shuffle on the key is the
+cheaper plan; it takes any order.
 """
 
 from __future__ import annotations
@@ -30,79 +28,44 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHUNK = "_chunk"
-
-
-SPLITS = 256
+#: The key columns as one struct: never null itself, so null keys join and are cut like others.
+KEY = "_key"
 DEFAULT_CHUNK_ROWS = 1_000_000
-DEFAULT_HOT_KEYS = 1024
-
 
-def _conf_int(df: DataFrame, name: str, default: int) -> int:
-    try:
-        return int(df.sparkSession.conf.get(name, str(default)))
-    except Exception:
-        return default
 
+def _number(df: DataFrame, name: str) -> Column:
+    """A double that never falls while the column rises; null stays null."""
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, T.NumericType):
+        return F.col(name).cast("double")
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(name).cast("double")
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(name).cast("double")
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
+    raise TypeError(f"order sequences first by a number, date or time, not by {name} ({dtype.simpleString()}); "
+                    "give a dense number for it, or bounded=True for small groups")
 
-def _splittable(dtype: T.DataType) -> bool:
-    return isinstance(dtype, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
 
-
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
-    """The keys with more than ``chunkRows`` rows, heaviest first, at most
-    ``hotKeys`` of them; ``None`` when there are none.
-
-    A grouped count (partial aggregate) whose bounded result -- a list of at
-    most ``hotKeys`` keys -- is brought to the driver as a planning statistic,
-    the way AQE uses runtime sizes. It decides whether a sequence operator
-    needs chunks at all.
-    """
-    keys = list(keys)
-    chunk_rows = _conf_int(df, "tramline.sequence.chunkRows", DEFAULT_CHUNK_ROWS)
-    limit = _conf_int(df, "tramline.sequence.hotKeys", DEFAULT_HOT_KEYS)
-    # rows with a null key part are never split: their group stays one chunk
-    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    counts = df.where(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.where(F.col("_n") > chunk_rows).orderBy(F.desc("_n")).limit(limit).select(*keys)
-    rows = top.collect()
-    if not rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, top.schema)
-
-
-def with_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, bool]:
-    """Decide chunking once for several sequence operators over the same keys
-    and order. Returns ``(frame, split)``: pass ``split=`` to the operators and
-    drop ``_chunk`` at the end (it is only present when ``split``)."""
-    return _chunked(df, keys, order)
-
-
-def _chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, bool]:
-    """Add a deterministic ``_chunk`` id that splits hot keys along ``order[0]``.
-
-    Returns ``(df, False)`` unchanged when no key needs splitting (or the
-    first ordering column has no numeric order to cut at).
-    """
+def with_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Add the chunk id once for several sequence operators over the same order; drop ``_chunk`` at the end."""
     if CHUNK in df.columns:
-        return df, True
-    keys = list(keys)
-    first = order[0]
-    if not _splittable(df.schema[first].dataType):
-        return df, False
-    hot = hot_keys(df, keys)
-    if hot is None:
-        return df, False
-    pct = F.array(*[F.lit(i / SPLITS) for i in range(1, SPLITS)])
-    bounds = (df.join(F.broadcast(hot), keys, "left_semi")
-              .groupBy(*keys).agg(F.percentile_approx(first, pct, 10000).alias("_bounds")))
-    tagged = attach(df, F.broadcast(bounds), keys)
-    chunk = F.coalesce(F.size(F.filter(F.col("_bounds"), lambda b: b <= F.col(first))), F.lit(0))
-    return tagged.withColumn(CHUNK, chunk).drop("_bounds"), True
+        return df
+    x = _number(df, order[0])
+    rows = int(df.sparkSession.conf.get("tramline.sequence.chunkRows", str(DEFAULT_CHUNK_ROWS)))
+    values = df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    stats = values.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"),
+                                F.ceil(F.count("x") / F.lit(rows)).cast("double").alias("n"))).scalar()
+    span = stats["hi"] - stats["lo"]
+    step = F.when(span > 0, F.floor((x - stats["lo"]) / span * stats["n"])).otherwise(F.lit(0))
+    chunk = F.when(x.isNull(), F.lit(-1)).when(F.isnan(x), stats["n"]).otherwise(F.least(step, stats["n"] - 1))
+    return df.withColumn(CHUNK, chunk.cast("long"))
 
 
 def _dedupe(*groups: Sequence[str]) -> list[str]:
@@ -113,66 +76,62 @@ def _dedupe(*groups: Sequence[str]) -> list[str]:
 
 
 def neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str],
-              direction: str = "prev", prefix: str | None = None, bounded: bool = False,
-              split: bool | None = None) -> DataFrame:
+              direction: str = "prev", prefix: str | None = None, bounded: bool = False) -> DataFrame:
     """Add ``<prefix><col>`` = value of ``col`` on the previous (``prev``) or
     next (``next``) row of the same key by ``order``; null at the ends.
 
     ``order`` must be a total order within a key (add tie-breaks) so results
-    are deterministic. ``split`` comes from ``with_chunks`` when chunking was
-    decided once for several operators.
+    are deterministic. A frame from ``with_chunks`` keeps its chunk ids.
     """
     keys, order, columns = list(keys), list(order), list(columns)
     prefix = prefix if prefix is not None else f"{direction}_"
     shift = F.lag if direction == "prev" else F.lead
     base_cols = df.columns
 
-    if not bounded:
-        ch, split = (df, split) if split is not None else _chunked(df, keys, order)
-        bounded = not split
     if bounded:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.select("*", *[shift(c).over(w).alias(prefix + c) for c in columns])
 
-    w = Window.partitionBy(CHUNK, *keys).orderBy(*order)
+    ch = with_chunks(df, keys, order).withColumn(KEY, F.struct(*keys))
+    w = Window.partitionBy(CHUNK, KEY).orderBy(*order)
     local = ch.select("*", *[shift(c).over(w).alias(prefix + c) for c in columns],
                       shift(F.lit(True)).over(w).isNull().alias("_edge"))
 
     edge_struct = F.struct(*_dedupe(order, columns))
-    summary = local.groupBy(CHUNK, *keys).agg(
+    summary = local.groupBy(CHUNK, KEY).agg(
         (F.max if direction == "prev" else F.min)(edge_struct).alias("_end"))
-    carry = summary.select(
-        CHUNK, *keys,
-        shift("_end").over(Window.partitionBy(*keys).orderBy(CHUNK)).alias("_carry"))
+    carry = summary.select(CHUNK, KEY, shift("_end").over(Window.partitionBy(KEY).orderBy(CHUNK)).alias("_carry"))
 
-    # plain equi-join on the window's own partitioning keys: the large side is
-    # not shuffled again (null keys are never split, so they need no carry)
-    joined = local.join(carry, [CHUNK, *keys], "left")
+    # on the window's own partitioning keys: the large side is not shuffled again
+    joined = local.join(carry, [CHUNK, KEY], "left")
     fixed = [F.when(F.col("_edge"), F.col(f"_carry.{c}")).otherwise(F.col(prefix + c)).alias(prefix + c)
              for c in columns]
     return joined.select(*base_cols, *fixed)
 
 
 def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-                  alias: str | None = None, bounded: bool = False, split: bool | None = None) -> DataFrame:
-    """Add the sum of ``value`` from the key's first row through the current row."""
+                  alias: str | None = None, bounded: bool = False) -> DataFrame:
+    """Add the sum of ``value`` from the key's first row through the current row.
+
+    As for a plain window, nulls are left out and the total is null until the first value.
+    """
     keys, order = list(keys), list(order)
     alias = alias or f"running_{value}"
     base_cols = df.columns
-    if not bounded:
-        ch, split = (df, split) if split is not None else _chunked(df, keys, order)
-        bounded = not split
     if bounded:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(alias, F.sum(value).over(w))
 
-    w = Window.partitionBy(CHUNK, *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ch = with_chunks(df, keys, order).withColumn(KEY, F.struct(*keys))
+    w = Window.partitionBy(CHUNK, KEY).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ch.withColumn("_local", F.sum(value).over(w))
-    totals = local.groupBy(CHUNK, *keys).agg(F.sum(value).alias("_tot"))
-    before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(CHUNK, *keys, F.sum("_tot").over(before).alias("_offset"))
-    joined = local.join(offsets, [CHUNK, *keys], "left")
-    total = F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0).cast(df.schema[value].dataType))
+    totals = local.groupBy(CHUNK, KEY).agg(F.sum(value).alias("_tot"))
+    before = Window.partitionBy(KEY).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(CHUNK, KEY, F.sum("_tot").over(before).alias("_offset"))
+    joined = local.join(offsets, [CHUNK, KEY], "left")
+    zero = F.lit(0).cast(local.schema["_local"].dataType)
+    total = F.when(F.col("_local").isNotNull() | F.col("_offset").isNotNull(),
+                   F.coalesce("_local", zero) + F.coalesce("_offset", zero))
     return joined.select(*base_cols, total.alias(alias))
 
 

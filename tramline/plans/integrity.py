@@ -117,10 +117,19 @@ def q12_platforms(net: Network, ev: Events) -> DataFrame:
                             F.concat_ws(",", "station_id", "route_id"), STATE))
 
 
+def plans_as_of(net: Network, ev: Events) -> DataFrame:
+    """``(passenger_id, route)``: each passenger's plan now -- the latest of today's weekday that has started (O-R3)."""
+    now = ev.world_clock.where(F.col("clock_tick") == current_tick(ev)).limit(1).select(F.struct(
+        F.col("day_of_week").alias("day"), (F.col("hour_of_day") * 60 + F.col("minute")).alias("minute"))).scalar()
+    start = F.col("start_arrival_hour") * 60 + F.col("arrival_minute")
+    due = net.passenger_itinerary.withColumn("_start", start).where(
+        F.contains(F.col("travel_code"), now["day"]) & (F.col("_start") <= now["minute"]))
+    return latest_by_key(due, ["id"], ["_start", "passenger_route_id"], ["passenger_route_id"]).select(
+        F.col("id").alias("passenger_id"), F.col("passenger_route_id").alias("route"))
+
+
 def q13_passenger_history(net: Network, ev: Events) -> DataFrame:
-    plans = net.passenger_itinerary.select(F.col("id").alias("passenger_id"),
-                                           F.col("passenger_route_id").alias("route")).distinct()
-    st = snapshot(ev.passenger_state, ["passenger_id"], ev).join(plans, "passenger_id")
+    st = snapshot(ev.passenger_state, ["passenger_id"], ev).join(plans_as_of(net, ev), "passenger_id")
     bad = history_violations(st, route_rows(net.passenger_routes), "passenger_id", "route", "stops_seen_so_far")
     return _frame(bad, "passenger_history_not_on_route", "passenger_state", "stops_seen_so_far", "passenger_id",
                   STATE)
@@ -162,15 +171,19 @@ def q17_trains_on_route_segments(net: Network, ev: Events) -> DataFrame:
 
 def q18_passenger_location(net: Network, ev: Events) -> DataFrame:
     st = snapshot(ev.passenger_state, ["passenger_id"], ev)
-    plans = net.passenger_itinerary.select(F.col("id").alias("passenger_id"),
-                                           F.col("passenger_route_id").alias("route")).distinct()
+    plans = plans_as_of(net, ev)
     travelling = st.where(F.size("stops_seen_so_far") > 0)
     lost = travelling.where(F.col("station_id").isNull() & F.col("train_id").isNull())
+    # a passenger under way without a plan that has started cannot be resumed
+    unplanned = travelling.join(net.passenger_itinerary.select(F.col("id").alias("passenger_id")).distinct(), "passenger_id",
+                                "left_semi").join(plans, "passenger_id", "left_anti")
     at = st.where(F.col("station_id").isNotNull()).join(plans, "passenger_id") \
         .join(route_rows(net.passenger_routes).select("route", F.col("station").alias("station_id")).distinct(),
               ["route", "station_id"], "left_anti")
     ghost_train = st.where(F.col("train_id").isNotNull()).join(net.trains.select("train_id"), "train_id", "left_anti")
     return _frame(lost, "passenger_lost", "passenger_state", "station_id,train_id", "passenger_id", STATE) \
+        .unionByName(_frame(unplanned, "passenger_without_past_plan", "passenger_state", "stops_seen_so_far",
+                            "passenger_id", STATE)) \
         .unionByName(_frame(at, "passenger_off_route", "passenger_state", "station_id", "passenger_id", CONFIG)) \
         .unionByName(_frame(ghost_train, "passenger_on_undefined_train", "passenger_state", "train_id",
                             "passenger_id", STATE))
@@ -219,12 +232,13 @@ def q22_platform_occupancy(net: Network, ev: Events) -> DataFrame:
 
 
 def run_all(net: Network, ev: Events) -> DataFrame:
-    frames = [q4_clock_present(ev), q7_train_without_state(net, ev), q8_train_route_undefined(net),
-              q9_train_history(net, ev), q10_train_unlocated(ev), q11_station_connectivity(net),
-              q12_platforms(net, ev), q14_segment_lists(ev), q15_train_station_defined(net, ev),
-              q16_symmetric_segments(net), q17_trains_on_route_segments(net, ev), q19_route_stations(net, ev),
-              q20_platform_routes(net, ev), q21_route_connectivity(net), q22_platform_occupancy(net, ev)]
-    if net.passenger_itinerary is not None and net.passenger_routes is not None:
-        frames += [q5_itinerary_without_state(net, ev), q6_itinerary_codes(net), q13_passenger_history(net, ev),
-                   q18_passenger_location(net, ev)]
-    return checks.suite(*frames)
+    """All checks, always: a network without passenger tables is an error, not fewer checks."""
+    if net.passenger_itinerary is None or net.passenger_routes is None:
+        raise ValueError("the checks need passenger_itinerary and passenger_routes (they may be empty tables)")
+    return checks.suite(
+        q4_clock_present(ev), q5_itinerary_without_state(net, ev), q6_itinerary_codes(net), q7_train_without_state(net, ev),
+        q8_train_route_undefined(net), q9_train_history(net, ev), q10_train_unlocated(ev), q11_station_connectivity(net),
+        q12_platforms(net, ev), q13_passenger_history(net, ev), q14_segment_lists(ev), q15_train_station_defined(net, ev),
+        q16_symmetric_segments(net), q17_trains_on_route_segments(net, ev), q18_passenger_location(net, ev),
+        q19_route_stations(net, ev), q20_platform_routes(net, ev), q21_route_connectivity(net),
+        q22_platform_occupancy(net, ev))

@@ -8,9 +8,10 @@ import os
 from pyspark.sql import SparkSession
 
 from tramline.plans.transit import Events, Network, stage_events, stage_network
-from tramline.schemas import (PASSENGER_ROUTES, PASSENGER_STATE, PLATFORM_STATE, RAIL_SEGMENTS, ROUTES,
+from tramline.schemas import (PASSENGER_ITINERARY, PASSENGER_ROUTES, PASSENGER_STATE, PLATFORM_STATE, RAIL_SEGMENTS, ROUTES,
                               SEGMENT_STATE, STATION_STATS, STATIONS, TRAIN_STATE, TRAINS, TRAINS_PRESENT_DDL,
                               WORLD_CLOCK)
+from tramline.sources.landing import path_exists
 from tramline.sources.seeds import read_seed
 
 
@@ -28,7 +29,9 @@ def load_seed_folder(spark: SparkSession, folder: str, live: Events | None = Non
         trains=read_seed(spark, p("trains"), TRAINS),
         rail_segments=read_seed(spark, p("rail_segments"), RAIL_SEGMENTS),
         passenger_routes=read_seed(spark, p("passenger_routes"), PASSENGER_ROUTES)
-        if os.path.exists(p("passenger_routes")) else None,
+        if path_exists(spark, p("passenger_routes")) else None,
+        passenger_itinerary=read_seed(spark, p("passenger_itinerary"), PASSENGER_ITINERARY)
+        if path_exists(spark, p("passenger_itinerary")) else None,
     )
     seed = Events(
         world_clock=read_seed(spark, p("world_clock_state"), WORLD_CLOCK),

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tramline.plans.catalog import register, us
 from tramline.schemas import EventTable
 from tramline.session import scratch_path
-from tramline.sources.landing import LandingStore
+from tramline.sources.landing import SEQUENCE, LandingStore
 from tramline.sources.tables import load_table
 from tramline.streaming.ingest import start_ingest, to_messages
 from tramline.streaming.stateful import latest_per_key, transition_waits
@@ -45,9 +45,10 @@ def _run(query) -> None:
         raise RuntimeError(str(query.exception()))
 
 
-def _to_parquet(out: str, mode: str = "append"):
+def _to_parquet(out: str):
+    """A sink that writes one folder per batch, so a batch that is run again doubles no rows."""
     def sink(df: DataFrame, batch_id: int) -> None:
-        df.write.mode(mode).parquet(out)
+        df.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
     return sink
 
 
@@ -78,7 +79,7 @@ def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
 def _upserted(store: LandingStore) -> DataFrame:
     from tramline.operators.upsert import merge_latest
     w = store.writes(EVENTS_TABLE)
-    merged = merge_latest(w.withColumn("first_event_id", F.col("event_id")), ["user_id"], ["_batch", "_offset"],
+    merged = merge_latest(w.withColumn("first_event_id", F.col("event_id")), ["user_id"], SEQUENCE,
                           ["event_id", "event_type", "value"], first_cols=["first_event_id"], count_alias="n_writes")
     return merged.select("user_id", "event_id", "event_type", F.col("value").cast("decimal(15,2)").alias("value"),
                          "first_event_id", "n_writes")

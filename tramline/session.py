@@ -47,7 +47,6 @@ CLUSTER_CONF = {
     "spark.sql.broadcastTimeout": "600",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
     "tramline.sequence.chunkRows": "5000000",
-    "tramline.sequence.hotKeys": "1024",
 }
 
 

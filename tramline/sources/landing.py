@@ -15,7 +15,13 @@ Layout under a base folder (any Hadoop file system path)::
   filters on ``clock_tick`` also prune buckets.
 * The upsert (last write wins per natural key, first ``created_at`` kept) is
   applied on read by ``merge_latest`` -- a partial aggregate -- ordered by
-  ``(_batch, _offset)``.
+  ``SEQUENCE``: batch, then the message's time, then its place at the source,
+  so within a batch a newer message wins whatever partition it came from.
+* Batch ids of a run start at 0, so stored ids carry the run's *epoch* above
+  them (``epoch * 2**32 + id``). ``run(checkpoint)`` gives a checkpoint its
+  epoch, recorded once: a resumed run keeps it, a new run (after a purge, or a
+  replay with other batch boundaries) gets a higher one and outranks whatever
+  older runs have left.
 * ``compact(table, upto)`` writes the merged state as of a committed batch to
   ``_compacted/<table>/upto=<id>`` and then a marker; reads merge that
   snapshot (one row per key) with the later batches only, so read cost
@@ -32,6 +38,8 @@ from tramline.operators.upsert import merge_latest
 from tramline.schemas import EVENT_TABLES, EventTable
 
 BUCKET = 1440  # ticks per bucket: one simulated day
+#: Order of writes.
+SEQUENCE = ["_batch", "_time", "_offset"]
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -42,19 +50,38 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 class LandingStore:
-    def __init__(self, spark: SparkSession, base: str, upto: int | None = None):
+    def __init__(self, spark: SparkSession, base: str, upto: int | None = None, epoch: int = 0):
         self.spark = spark
         self.base = base.rstrip("/")
         self.upto = upto
+        self.epoch = epoch
 
     def at(self, batch_id: int) -> "LandingStore":
         """A view of the store as of one committed batch (a fixed snapshot)."""
-        return LandingStore(self.spark, self.base, batch_id)
+        return LandingStore(self.spark, self.base, batch_id, self.epoch)
+
+    def run(self, checkpoint: str) -> "LandingStore":
+        """The store for the streaming run of ``checkpoint``, in its own epoch."""
+        folder = f"{self.base}/_epochs"
+        known: dict[str, int] = {}
+        if path_exists(self.spark, folder):  # one small row for each run ever started
+            known = {r.checkpoint: r.number for r in self.spark.read.schema("checkpoint string, number int").json(folder).collect()}
+        if checkpoint not in known:
+            known[checkpoint] = max(known.values(), default=-1) + 1
+            self.spark.createDataFrame([(checkpoint, known[checkpoint])], "checkpoint string, number int").write.mode(
+                "overwrite").json(f"{folder}/epoch={known[checkpoint]}")
+        return LandingStore(self.spark, self.base, self.upto, known[checkpoint])
+
+    def sequence(self, batch_id: int) -> int:
+        """The stored id of a run's batch."""
+        return (self.epoch << 32) + batch_id
 
     # ---- writes ---------------------------------------------------------------
 
     def append(self, table: EventTable, rows: DataFrame, batch_id: int) -> None:
-        """Write one batch of typed rows (schema of ``table`` plus ``_offset``)."""
+        """Write one batch of typed rows (schema of ``table``, ``_offset``, and ``_time`` if known)."""
+        if "_time" not in rows.columns:
+            rows = rows.withColumn("_time", F.lit(0).cast("long"))
         dest = f"{self.base}/{table.name}/batch={batch_id}"
         if "clock_tick" in rows.columns:
             out = rows.withColumn("tick_bucket", F.floor(F.col("clock_tick") / F.lit(BUCKET)).cast("int"))
@@ -103,7 +130,8 @@ class LandingStore:
         """All committed writes of a table, with ``_batch`` and ``_offset``
         (batches covered by a compaction come from its snapshot)."""
         path = f"{self.base}/{table.name}"
-        schema = T.StructType(list(table.schema.fields)).add("_offset", "long").add("batch", "long")
+        schema = T.StructType(list(table.schema.fields)).add("_time", "long").add("_offset", "long") \
+            .add("batch", "long")
         if self._bucketed(table):
             schema = schema.add("tick_bucket", "integer")
         if not path_exists(self.spark, path):
@@ -117,8 +145,8 @@ class LandingStore:
         snap_path = f"{self.base}/_compacted/{table.name}"
         if not path_exists(self.spark, snap_path):
             return recent
-        snap_schema = T.StructType(list(table.schema.fields)).add("_offset", "long").add("_src_batch", "long") \
-            .add("upto", "long")
+        snap_schema = T.StructType(list(table.schema.fields)).add("_time", "long").add("_offset", "long") \
+            .add("_src_batch", "long").add("upto", "long")
         if self._bucketed(table):
             snap_schema = snap_schema.add("tick_bucket", "integer")
         snap = self.spark.read.schema(snap_schema).option("basePath", snap_path).parquet(snap_path)
@@ -129,11 +157,11 @@ class LandingStore:
         """Write the merged state as of committed batch ``upto``, then its marker.
 
         Idempotent: a repeated compaction rewrites the same folder. The winning
-        write keeps its own ``(_batch, _offset)``, so later batches still win.
+        write keeps its own place in ``SEQUENCE``, so later batches still win.
         """
-        as_of = LandingStore(self.spark, self.base, upto)
+        as_of = self.at(upto)
         w = as_of.writes(table)
-        merged = merge_latest(w, table.keys, ["_batch", "_offset"], [*table.payload, "_batch", "_offset"],
+        merged = merge_latest(w, table.keys, SEQUENCE, [*table.payload, *SEQUENCE],
                               first_cols=["created_at"])
         out = merged.withColumnRenamed("_batch", "_src_batch")
         dest = f"{self.base}/_compacted/{table.name}/upto={upto}"
@@ -156,7 +184,7 @@ class LandingStore:
             bound = min_tick if not isinstance(min_tick, int) else F.lit(min_tick)
             w = w.where((F.col("clock_tick") >= bound)
                         & (F.col("tick_bucket") >= F.floor(bound / F.lit(BUCKET))))
-        merged = merge_latest(w, table.keys, ["_batch", "_offset"], table.payload, first_cols=["created_at"])
+        merged = merge_latest(w, table.keys, SEQUENCE, table.payload, first_cols=["created_at"])
         return merged.select(*[f.name for f in table.schema.fields])
 
     def all_states(self) -> dict[str, DataFrame]:

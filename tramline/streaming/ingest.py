@@ -2,10 +2,12 @@
 
 One streaming query reads every topic (Kafka in production, a file stream in
 tests), and each micro-batch is routed by topic inside ``foreachBatch``:
-JSON values are parsed against the declared schema, stamped with
-``(batch id, source offset)`` as the write sequence, appended to the
-landing store, and the batch is committed last. Replays reuse the batch id,
-so the whole batch is idempotent.
+JSON values are parsed against the declared schema, stamped with (batch,
+message time, partition and offset) as the write sequence, appended to the
+landing store, and the batch is committed last. A batch that is run again
+writes the same folders; another run over the same store has an epoch of its
+own. Published messages carry the natural key, so a broker keeps the writes of
+one entity in order.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from pyspark.sql import types as T
 from tramline.schemas import TOPIC_TO_TABLE, EventTable
 from tramline.sources.landing import LandingStore
 
+#: Batches between two compactions of the landing store.
+COMPACT_EVERY = 64
 MESSAGE_SCHEMA = "topic string, value string, partition int, offset long, timestamp timestamp"
 
 
@@ -58,42 +62,49 @@ def parse_topic(batch: DataFrame, table: EventTable) -> DataFrame:
             for f in table.schema.fields]
     seq = (F.coalesce(F.col("partition"), F.lit(0)).cast("long") * F.lit(1 << 40)
            + F.coalesce(F.col("offset"), F.lit(0)).cast("long"))
-    return parsed.select(*cols, seq.alias("_offset"))
+    time = F.coalesce(F.unix_micros("_stamp"), F.lit(0).cast("long"))
+    return parsed.select(*cols, time.alias("_time"), seq.alias("_offset"))
 
 
 def route_batch(store: LandingStore, on_committed: Callable[[int], None] | None = None,
-                topics: dict[str, EventTable] | None = None, compact_every: int | None = None):
+                topics: dict[str, EventTable] | None = None, compact_every: int | None = COMPACT_EVERY):
     """The ``foreachBatch`` function: route, append, commit, publish, and every
-    ``compact_every`` batches compact each table (bounds read cost)."""
+    ``compact_every`` batches compact each table (bounds read cost; None: never).
+
+    A topic that is unknown or null raises. ``on_committed`` gets the stored
+    batch id.
+    """
     topics = topics or TOPIC_TO_TABLE
     known = list(topics)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        unknown = batch.where(~F.col("topic").isin(known)).select("topic").limit(1).collect()
-        if unknown:
-            raise ValueError(f"message for unknown topic {unknown[0].topic!r}")
+        stored = store.sequence(batch_id)
         batch.persist()
         try:
+            unknown = batch.where(~F.coalesce(F.col("topic").isin(known), F.lit(False))).select("topic").limit(1).collect()
+            if unknown:
+                raise ValueError(f"message for unknown topic {unknown[0].topic!r}")
             for table in topics.values():
-                store.append(table, parse_topic(batch, table), batch_id)
-            store.commit(batch_id)
+                store.append(table, parse_topic(batch, table), stored)
+            store.commit(stored)
         finally:
             batch.unpersist()
         if on_committed is not None:
-            on_committed(batch_id)
+            on_committed(stored)
         if compact_every and (batch_id + 1) % compact_every == 0:
             for table in topics.values():
-                store.compact(table, batch_id)
+                store.compact(table, stored)
 
     return run
 
 
 def start_ingest(source: DataFrame, store: LandingStore, checkpoint: str, available_now: bool = True,
                  processing_time: str | None = None, on_committed: Callable[[int], None] | None = None,
-                 topics: dict[str, EventTable] | None = None, compact_every: int | None = None):
+                 topics: dict[str, EventTable] | None = None, compact_every: int | None = COMPACT_EVERY):
     """Start the ingest query; the checkpoint makes restarts resume, and a new
-    checkpoint with an ``earliest`` source replays everything (backfill)."""
-    w = source.writeStream.foreachBatch(route_batch(store, on_committed, topics, compact_every)) \
+    checkpoint with an ``earliest`` source replays everything (backfill) in a
+    later epoch, so its writes win whatever its batch boundaries are."""
+    w = source.writeStream.foreachBatch(route_batch(store.run(checkpoint), on_committed, topics, compact_every)) \
         .option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)
@@ -102,11 +113,14 @@ def start_ingest(source: DataFrame, store: LandingStore, checkpoint: str, availa
     return w.start()
 
 
-def to_messages(df: DataFrame, topic: str, offset_col: str | None = None) -> DataFrame:
-    """Sink side (O-S6): rows as JSON messages of a topic."""
+def to_messages(df: DataFrame, topic: str, offset_col: str | None = None, keys: list[str] | None = None) -> DataFrame:
+    """Sink side (O-S6): rows as JSON messages of a topic, keyed by ``keys`` (the topic's natural key by default)."""
     payload = F.to_json(F.struct(*df.columns))
+    if keys is None and topic in TOPIC_TO_TABLE:
+        keys = [k for k in TOPIC_TO_TABLE[topic].keys if k != "clock_tick"]
+    key = F.to_json(F.struct(*keys)) if keys else F.lit(None).cast("string")
     off = F.col(offset_col).cast("long") if offset_col else F.monotonically_increasing_id()
-    return df.select(F.lit(topic).alias("topic"), payload.alias("value"), F.lit(0).alias("partition"),
+    return df.select(F.lit(topic).alias("topic"), key.alias("key"), payload.alias("value"), F.lit(0).alias("partition"),
                      off.alias("offset"), F.current_timestamp().alias("timestamp"))
 
 
@@ -114,7 +128,7 @@ def write_messages(df: DataFrame, servers: str | None = None, path: str | None =
     """Publish messages (``to_messages`` output) to Kafka, or to a folder of
     JSON lines that ``file_source`` can read (tests, replays)."""
     if servers:
-        (df.select("topic", "value").write.format("kafka")
+        (df.select("topic", *[c for c in ("key",) if c in df.columns], "value").write.format("kafka")
          .option("kafka.bootstrap.servers", servers).save())
     elif path:
         df.write.mode("append").json(path)
