@@ -11,7 +11,9 @@ until the chance to miss a pair at the threshold is below ``1 - recall``.
 
 A pair may meet in several buckets. Each node carries the ids of its leaf
 buckets, and a pair counts only in the first leaf that both share, so link
-counts are exact without listing pairs. What leaves a bucket is a count per
+counts are exact without listing pairs. Before n-gram sets are fetched, the
+signatures alone thin out buckets: a member stays where some partner that it
+first meets there agrees in enough positions. What leaves a bucket is a count per
 member and a spanning forest of its links: output grows with members, not
 pairs.
 
@@ -146,6 +148,39 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return total
 
 
+def sketch_least(threshold: float, miss: float = 1e-6) -> int:
+    """Positions in which a pair at the threshold agrees but for a chance of ``miss``."""
+    below = 0.0
+    for k in range(POSITIONS + 1):
+        below += math.comb(POSITIONS, k) * threshold ** k * (1 - threshold) ** (POSITIONS - k)
+        if below > miss:
+            return k
+    return POSITIONS
+
+
+def _only_first_leaf(linked: np.ndarray, path: int, leaves: list[np.ndarray]) -> None:
+    """Take pairs out that share a leaf before ``path``."""
+    earlier: dict[int, list[int]] = {}
+    for k, own in enumerate(leaves):
+        for leaf in own[own < path].tolist():
+            earlier.setdefault(leaf, []).append(k)
+    for members in earlier.values():
+        if len(members) > 1:
+            linked[np.ix_(members, members)] = False
+
+
+def likely(path: int, left: np.ndarray, right: np.ndarray, tokens: np.ndarray, leaves: list[np.ndarray], least: int) -> np.ndarray:
+    """Flags of members with a partner whose signature agrees in ``least`` positions, and which they first meet here."""
+    same = np.zeros((len(tokens), len(tokens)), np.int8)
+    for column in tokens.T:
+        same += column[:, None] == column[None, :]
+    linked = same >= least
+    linked &= (left[:, None] & right[None, :]) | (right[:, None] & left[None, :])
+    linked[np.arange(len(tokens)), np.arange(len(tokens))] = False
+    _only_first_leaf(linked, path, leaves)
+    return linked.any(axis=1)
+
+
 def compare_bucket(path: int, left: np.ndarray, right: np.ndarray, sets: list[np.ndarray], weight: np.ndarray,
                    leaves: list[np.ndarray], threshold: float) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """Links per member and a spanning forest, among members flagged left against those flagged right.
@@ -169,13 +204,7 @@ def compare_bucket(path: int, left: np.ndarray, right: np.ndarray, sets: list[np
             seen[fresh] = True
             forest += [(root, int(k)) for k in fresh]
             stack += fresh.tolist()
-    earlier: dict[int, list[int]] = {}
-    for k, own in enumerate(leaves):
-        for leaf in own[own < path].tolist():
-            earlier.setdefault(leaf, []).append(k)
-    for members in earlier.values():
-        if len(members) > 1:
-            linked[np.ix_(members, members)] = False
+    _only_first_leaf(linked, path, leaves)
     return linked @ weight, forest
 
 
@@ -263,22 +292,45 @@ def leaf_buckets(nodes: DataFrame, threshold: float, recall: float) -> DataFrame
     return settle(out, "leaves")
 
 
-def _compare(leaves: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """(node, links, other): link counts per leaf and member, and forest links, of all leaves."""
+def _members(leaves: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """(path, low, high, block, node): members of block pairs that a signature partner asks to compare.
+
+    Large alike buckets are dealt out as pairs of blocks. A pair below the
+    sketch's bound is at the threshold with a chance of one in a million.
+    """
     last = F.floor((F.col("n") - 1) / LEAF).cast("int")
     block = F.pmod(F.xxhash64("node", F.lit(3)), last + 1).cast("int")
+    least = sketch_least(threshold)
     of_node = leaves.groupBy("node").agg(F.collect_list("path").alias("leaves"))
-    known = nodes.select("node", "copies").join(of_node, "node").join(sets, "node")
     pairs = (leaves.withColumn("block", block)
              .withColumn("other", F.explode(F.sequence(F.lit(0), last)))
              .select("path", "node", "block", F.least("block", "other").alias("low"),
                      F.greatest("block", "other").alias("high")))
+    known = nodes.select("node", "tokens").join(of_node, "node")
     rows = pairs.join(known, "node").repartition("path", "low", "high").sortWithinPartitions("path", "low", "high")
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _buckets(batches):
-            if len(b["node"]) < 2:
-                continue
+            at = np.array(b["block"])
+            keep = np.flatnonzero(likely(b["path"][0], at == b["low"][0], at == b["high"][0], np.array(b["tokens"], np.int32),
+                                         [np.array(x, np.int64) for x in b["leaves"]], least))
+            if len(keep):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([b[c][k] for k in keep], t) for c, t in (
+                        ("path", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("block", pa.int32()),
+                        ("node", pa.binary()), ("leaves", pa.list_(pa.int64())))],
+                    names=["path", "low", "high", "block", "node", "leaves"])
+
+    return rows.mapInArrow(work, "path long, low int, high int, block int, node binary, leaves array<long>")
+
+
+def _compare(members: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(node, links, other): link counts per block pair and member, and forest links, of all block pairs."""
+    known = nodes.select("node", "copies").join(sets, "node")
+    rows = members.join(known, "node").repartition("path", "low", "high").sortWithinPartitions("path", "low", "high")
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _buckets(batches):
             at = np.array(b["block"])
             count, forest = compare_bucket(
                 b["path"][0], at == b["low"][0], at == b["high"][0], [np.frombuffer(g, np.uint64) for g in b["grams"]],
@@ -306,12 +358,12 @@ def jaccard_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall:
     signed = settle(sign(docs, n), "signed")
     nodes = settle(signed.filter("node is not null").groupBy("node").agg(
         F.first("tokens").alias("tokens"), F.count("*").alias("copies"), F.min("doc_id").alias("least")), "nodes")
-    leaves = leaf_buckets(nodes, threshold, recall)
-    wanted = leaves.select("node").distinct().join(nodes, "node").select(F.col("least").alias("id")).distinct()
+    members = settle(_members(leaf_buckets(nodes, threshold, recall), nodes, threshold), "members")
+    wanted = members.select("node").distinct().join(nodes, "node").select(F.col("least").alias("id")).distinct()
     wanted = broadcast_if_small(settle(wanted, "wanted"))
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
     sets = sets_of(texts, n).groupBy("node").agg(F.first("grams").alias("grams"))
-    found = settle(_compare(leaves, nodes, sets, threshold), "found")
+    found = settle(_compare(members, nodes, sets, threshold), "found")
     label = components(found.select(F.col("node").alias("a"), F.col("other").alias("b")))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     per_node = (nodes.select("node", "copies", "least").join(links, "node", "left").join(label, "node", "left")
