@@ -1106,5 +1106,5 @@ def axis_bounds(spark, d):
     return crowd.crossJoin(wait)
 
 
-# streaming entries register themselves into CATALOG
-from tramline.plans import stream_catalog  # noqa: E402,F401
+# these entries register themselves into CATALOG
+from tramline.plans import given, stream_catalog  # noqa: E402,F401
