@@ -168,11 +168,17 @@ def test_stateful_waits_match_batch(spark, scratch):
     rows = [(7, 10, None, 1), (7, 14, 5, None), (7, 20, 5, None), (7, 25, None, 2), (7, 34, 6, None),
             (8, 3, 9, None), (8, 5, None, 3), (8, 9, 4, None), (9, 1, None, None), (9, 2, None, 1), (9, 6, 3, None)]
     df = spark.createDataFrame(rows, "pid int, tick int, train int, station int")
+    df = df.withColumn("ts", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("tick") * 60).cast("timestamp_ntz"))
     src_dir = os.path.join(scratch, "src")
-    df.write.parquet(src_dir)
-    stream = spark.readStream.schema(df.schema).parquet(src_dir)
+    # two deliveries out of order, then a row of another key that makes all final
+    df.where("tick % 2 = 0").write.parquet(f"{src_dir}/part=1")
+    df.where("tick % 2 = 1").write.parquet(f"{src_dir}/part=2")
+    spark.createDataFrame([(99, 500, None, 1)], "pid int, tick int, train int, station int").withColumn(
+        "ts", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("tick") * 60).cast("timestamp_ntz")).write.parquet(f"{src_dir}/part=3")
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 4).parquet(src_dir)
     located = stream.where(F.col("train").isNotNull() | F.col("station").isNotNull())
-    waits = transition_waits(located, "pid", "tick", "tick", F.col("train").isNull(), F.col("train").isNotNull())
+    waits = transition_waits(located, "pid", "tick", "tick", F.col("train").isNull(), F.col("train").isNotNull(),
+                             event_time="ts", tolerance_ms=60 * 60_000, horizon_ms=600 * 60_000)
     out = os.path.join(scratch, "out")
     q = (waits.writeStream.foreachBatch(lambda b, i: b.write.mode("append").parquet(out))
          .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start())
@@ -204,7 +210,7 @@ def test_idle_state_expires(spark, scratch):
     stream = spark.readStream.schema(schema).parquet(src_dir)
     waits = transition_waits(stream, "pid", F.timestamp_diff("MINUTE", F.lit(t0).cast("timestamp_ntz"), F.col("ts")),
                              "pid", F.col("kind") == "wait", F.col("kind") == "ride",
-                             event_time="ts", watermark="1 minute", retention_ms=10 * 60 * 1000)
+                             event_time="ts", tolerance_ms=60_000, horizon_ms=60_000, retention_ms=10 * 60_000)
     out, ck = os.path.join(scratch, "out"), os.path.join(scratch, "ck")
 
     def run():
@@ -219,6 +225,8 @@ def test_idle_state_expires(spark, scratch):
     run()
     deliver("d", [(1, m(62), "ride"), (3, m(65), "ride")])
     run()
+    deliver("e", [(9, m(80), "none")])                        # makes minute 65 final
+    run()
     got = sorted((r.key, r.wait) for r in spark.read.parquet(out).where("kind = 'wait'").collect())
     # pid 2 waited 3 minutes; pid 1's wait state expired, so no 62-minute wait; pid 3 waited 4
     assert got == [(2, 3), (3, 4)]

@@ -337,13 +337,14 @@ left join supplier s on l.l_suppkey = s.s_suppkey and c.c_nationkey = s.s_nation
 def linear_position(spark, d):
     t = Tables(spark, d)
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey")
-    o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_totalprice")
     c = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    # orders meet customers first: lineitem moves once for its order and once for its supplier
+    o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_totalprice").join(c, "o_custkey")
     geo = t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"), "left") \
         .select(F.col("n_nationkey").alias("c_nationkey"), "r_name")
     s = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("c_nationkey"),
                           "s_acctbal")
-    x = li.join(o, "l_orderkey").join(c, "o_custkey").join(F.broadcast(geo), "c_nationkey", "left")
+    x = li.join(o, "l_orderkey").join(F.broadcast(geo), "c_nationkey", "left")
     x = x.join(s, ["l_suppkey", "c_nationkey"], "left")
     return x.select("l_orderkey", "l_linenumber", "l_suppkey", "c_nationkey", "r_name",
                     (money("o_totalprice") + F.coalesce(money("s_acctbal"), F.lit(0))).alias("position"))
@@ -820,10 +821,11 @@ from n where len > 0
 def corridor_offsets_q(spark, d):
     t = Tables(spark, d)
     c = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-    o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey").join(c, "o_custkey")
     s = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    x = t.lineitem.select("l_orderkey", "l_suppkey", "l_returnflag").join(o, "l_orderkey").join(c, "o_custkey") \
-        .join(s, "l_suppkey")
+    x = t.lineitem.select("l_orderkey", "l_suppkey", "l_returnflag").join(o, "l_orderkey")
+    # the least order of each flag, nation and supplier, before the suppliers' nations are looked up
+    x = x.groupBy("l_returnflag", "c_nationkey", "l_suppkey").agg(F.min("l_orderkey").alias("l_orderkey")).join(s, "l_suppkey")
     names = F.broadcast(t.nation.select("n_nationkey", "n_name"))
     edges = (x.groupBy(F.col("l_returnflag").alias("route_id"), "c_nationkey", "s_nationkey")
              .agg(F.min("l_orderkey").alias("ord"))

@@ -127,14 +127,18 @@ def stream_latest(spark: SparkSession, d: str) -> DataFrame:
     return got.select("user_id", "event_id", "event_type", us("ts").alias("ts_us"))
 
 
-def _waits_stream(spark: SparkSession, src: DataFrame, out: str, ckpt: str) -> None:
-    waits = transition_waits(src, "user_id", us("ts"), "event_id",
-                             F.col("event_type") == "view", F.col("event_type") == "purchase")
+DAY_MS = 86_400_000
+
+
+def _waits_stream(spark: SparkSession, src: DataFrame, out: str, ckpt: str, tolerance_days: int) -> None:
+    waits = transition_waits(src, "user_id", us("ts"), "event_id", F.col("event_type") == "view",
+                             F.col("event_type") == "purchase", event_time="ts", tolerance_ms=tolerance_days * DAY_MS,
+                             horizon_ms=60 * DAY_MS)
     _run(waits.writeStream.outputMode("append").foreachBatch(_to_parquet(out))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
 
 
-@register("stream_waits", ("O-T5", "O-W2", "O-M6"), """
+@register("stream_waits", ("O-T5", "O-T6", "O-W2", "O-M6"), """
 select user_id, event_id, epoch_us(ts) - epoch_us(prev_ts) as wait_us
 from (select *, lag(ts) over w as prev_ts, lag(event_type) over w as prev_type
       from events window w as (partition by user_id order by ts, event_id)) t
@@ -142,9 +146,19 @@ where event_type = 'purchase' and prev_type = 'view'
 """)
 def stream_waits(spark: SparkSession, d: str) -> DataFrame:
     events = load_table(spark, d, "events").select("user_id", "event_id", "event_type", "ts")
-    src = spark.readStream.schema(events.schema).parquet(_replay_parquet(spark, events, "events"))
-    out = scratch_path(spark, "waits")
-    _waits_stream(spark, src, out, scratch_path(spark, "ckpt"))
+    folder, out = scratch_path(spark, "arrivals"), scratch_path(spark, "waits")
+    # deliveries of ten days; every second event comes one delivery late, within the tolerance
+    first = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    delivery = F.floor(F.timestamp_diff("DAY", first, F.col("ts")) / 10) + F.col("event_id") % 2
+    for k in range(4):
+        events.where(delivery == k).write.parquet(f"{folder}/delivery={k}")
+    # a row of no user, later than all: what was held back becomes final
+    last = events.agg(F.max("ts").alias("m")).select(
+        F.lit(-1).cast("long").alias("user_id"), F.lit(-1).cast("long").alias("event_id"), F.lit("end").alias("event_type"),
+        (F.col("m") + F.expr("interval 30 days")).alias("ts"))
+    last.write.parquet(f"{folder}/delivery=9")
+    src = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 8).parquet(folder)
+    _waits_stream(spark, src, out, scratch_path(spark, "ckpt"), tolerance_days=21)
     got = spark.read.schema("key long, t long, tb long, wait long, kind string").parquet(out)
     return got.where(F.col("kind") == "wait").select(F.col("key").alias("user_id"), F.col("tb").alias("event_id"),
                                                      F.col("wait").alias("wait_us"))
@@ -152,21 +166,23 @@ def stream_waits(spark: SparkSession, d: str) -> DataFrame:
 
 @register("stream_late", ("O-T6",), f"""
 select user_id, event_id from events
-where ts < timestamp '{LATE_SPLIT}'
-  and user_id in (select user_id from events where ts >= timestamp '{LATE_SPLIT}')
+where ts < timestamp '{LATE_SPLIT}' and user_id in (
+  select user_id from events
+  where ts >= timestamp '{LATE_SPLIT}' and epoch_ms(ts) <= (select max(epoch_ms(ts)) from events) - {DAY_MS})
 """)
 def stream_late(spark: SparkSession, d: str) -> DataFrame:
     events = load_table(spark, d, "events").select("user_id", "event_id", "event_type", "ts")
     split = F.lit(LATE_SPLIT).cast("timestamp_ntz")
     folder = scratch_path(spark, "arrivals")
     out, ckpt = scratch_path(spark, "late"), scratch_path(spark, "ckpt")
-    # first delivery: the later half; second delivery: the earlier half, now late
+    # first delivery: the later half; second delivery: the earlier half, late
+    # for users with a row that is final by then (a day older than the newest)
     events.where(F.col("ts") >= split).write.parquet(f"{folder}/part=1")
     src = spark.readStream.schema(events.schema).parquet(folder)
-    _waits_stream(spark, src, out, ckpt)
+    _waits_stream(spark, src, out, ckpt, tolerance_days=1)
     events.where(F.col("ts") < split).write.parquet(f"{folder}/part=2")
     src = spark.readStream.schema(events.schema).parquet(folder)
-    _waits_stream(spark, src, out, ckpt)
+    _waits_stream(spark, src, out, ckpt, tolerance_days=1)
     got = spark.read.schema("key long, t long, tb long, wait long, kind string").parquet(out)
     return got.where(F.col("kind") == "late").select(F.col("key").alias("user_id"), F.col("tb").alias("event_id"))
 

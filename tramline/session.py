@@ -9,6 +9,7 @@ has none (local tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -51,8 +52,14 @@ CLUSTER_CONF = {
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app: str = "tramline", extra: dict | None = None, profile: str = "local") -> SparkSession:
-    """Build (or get) the session. ``profile="cluster"`` applies ``CLUSTER_CONF``."""
+              app: str = "tramline", extra: dict | None = None, profile: str = "local",
+              shared_dir: str | None = None) -> SparkSession:
+    """Build (or get) the session. ``profile="cluster"`` applies ``CLUSTER_CONF``.
+
+    ``shared_dir`` is the folder for checkpoints and scratch tables that all
+    executors reach (``spark.checkpoint.dir``); off a local master one must be
+    configured.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -61,6 +68,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shared_dir:
+        conf["spark.checkpoint.dir"] = shared_dir
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -73,7 +82,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and lineage-cutting tables.
 
-    Read from the session; set a local one only when nothing is configured.
+    Read from the session. Only a local master, where driver and executors are
+    one process, gets a temporary folder when nothing is configured; anywhere
+    else that would scatter the data over the nodes' own disks, so it raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -81,6 +92,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share (master {sc.master})")
         configured = tempfile.mkdtemp(prefix="tramline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -88,8 +101,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tramline/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/tramline/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove this application's scratch tables; call it when their frames are no longer read."""
+    jvm, root = spark.sparkContext._jvm, _scratch_root(spark)
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 _SHIPPED: set[str] = set()

@@ -1,10 +1,13 @@
 """Stateful streaming operators.
 
-``transition_waits`` keeps, per key, the last row seen (its order values and
-whether it was a "waiting" row) in Spark's state store; a row that ends a
-wait emits ``end - start``. Rows at or before the stored position arrive
-late: they are emitted with ``kind = 'late'`` instead of being folded in, so
-the waits equal the batch answer over the in-order rows.
+``transition_waits`` holds a key's rows back until they are older than the
+newest row by the tolerance, then walks them in order: a row that ends a wait
+emits ``end - start``. Rows may arrive in any order within the tolerance and
+across any number of micro-batches; the waits equal the batch answer. A row
+that comes when a later one of its key has been walked is emitted with
+``kind = 'late'`` instead, if it is not older than the horizon, beyond which
+Spark itself drops rows. The state of a key is its last row and the rows
+held back; a key without rows for the retention is forgotten.
 
 ``latest_per_key`` is the streaming form of latest-state: a grouped ``max``
 over a struct, valid in update/complete mode (``row_number`` is not allowed
@@ -20,97 +23,93 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-STATE_SCHEMA = "last_t long, last_tb long, last_start boolean"
+STATE_SCHEMA = ("last_t long, last_tb long, last_start boolean, seen_ms long, "
+                "t array<long>, tb array<long>, start array<boolean>, end array<boolean>, ms array<long>")
 OUT_SCHEMA = "key long, t long, tb long, wait long, kind string"
-
-
-def _walk(key: tuple, batches: Iterator[pd.DataFrame], state) -> tuple[list, tuple | None]:
-    """Fold one key's rows of a micro-batch into the state; return output rows."""
-    pdf = pd.concat(list(batches), ignore_index=True).sort_values(["_t", "_tb"], kind="mergesort")
+_HELD = ["t", "tb", "start", "end", "ms"]
+
+
+def _walk(rows: pd.DataFrame, last: tuple) -> tuple[pd.DataFrame, tuple]:
+    """Waits and late rows of ``rows`` (in order) after the row ``last``; and the new last row."""
+    t, tb, start = last
+    late = pd.Series(False, index=rows.index)
+    if t is not None:
+        late = (rows["t"] < t) | ((rows["t"] == t) & (rows["tb"] <= tb))
+    good = rows[~late]
+    before_t = good["t"].shift(1, fill_value=t if t is not None else 0)
+    before_start = good["start"].shift(1, fill_value=bool(start) if t is not None else False)
+    ended = good["end"] & before_start
+    waits = pd.DataFrame({"t": good["t"], "tb": good["tb"], "wait": (good["t"] - before_t).astype("Int64"), "kind": "wait"})[ended]
+    lost = pd.DataFrame({"t": rows["t"], "tb": rows["tb"], "wait": pd.array([pd.NA] * len(rows), dtype="Int64"), "kind": "late"})[late]
+    if len(good):
+        final = good.iloc[-1]
+        last = (int(final["t"]), int(final["tb"]), bool(final["start"]))
+    return pd.concat([lost, waits]), last
+
+
+def _waits_fn(ahead_ms: int, retention_ms: int | None, key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+    # Spark's watermark trails by the horizon; rows are final where it trails by the tolerance
+    mark = state.getCurrentWatermarkMs()
+    final = mark + ahead_ms if mark > 0 else 0
+    last, seen, held = (None, None, None), 0, pd.DataFrame({c: [] for c in _HELD})
     if state.exists:
-        last_t, last_tb, last_start = state.get[:3]
-        have = True
-    else:
-        last_t, last_tb, last_start, have = None, None, None, False
-    out = []
-    for t, tb, start, end in zip(pdf["_t"].tolist(), pdf["_tb"].tolist(), pdf["_start"].tolist(),
-                                 pdf["_end"].tolist()):
-        if have and (t, tb) <= (last_t, last_tb):
-            out.append((t, tb, None, "late"))
-            continue
-        if have and end and last_start:
-            out.append((t, tb, t - last_t, "wait"))
-        last_t, last_tb, last_start, have = t, tb, bool(start), True
-    newest_ms = int(pdf["_et"].max()) if "_et" in pdf and len(pdf) else None
-    return out, ((int(last_t), int(last_tb), bool(last_start)) if have else None), newest_ms
-
-
-def _emit(key: tuple, out: list) -> Iterator[pd.DataFrame]:
-    if out:
-        t, tb, wait, kind = zip(*out)
-        yield pd.DataFrame({"key": [key[0]] * len(out), "t": list(t), "tb": list(tb),
-                            "wait": pd.array(list(wait), dtype="Int64"), "kind": list(kind)})
-
-
-def _waits_fn(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    out, new_state, _ = _walk(key, batches, state)
-    if new_state is not None:
-        state.update(new_state)
-    yield from _emit(key, out)
-
-
-def _waits_fn_expiring(retention_ms: int, key: tuple, batches: Iterator[pd.DataFrame],
-                       state) -> Iterator[pd.DataFrame]:
-    """As ``_waits_fn``; a key idle for ``retention_ms`` of event time is dropped."""
-    if state.hasTimedOut:
+        *last, seen, t, tb, start, end, ms = state.get
+        last = tuple(last)
+        held = pd.DataFrame({"t": list(t), "tb": list(tb), "start": list(start), "end": list(end), "ms": list(ms)})
+    if not state.hasTimedOut:
+        fresh = pd.concat([b[[f"_{c}" for c in _HELD]] for b in batches]).rename(columns=lambda c: c[1:])
+        held = fresh if held.empty else pd.concat([held, fresh])
+        seen = max(seen, int(fresh["ms"].max()))
+    held = held.astype({"t": "int64", "tb": "int64", "start": "bool", "end": "bool", "ms": "int64"})
+    held = held.sort_values(["t", "tb"], kind="mergesort", ignore_index=True)
+    passed = held["ms"] <= final
+    out, last = _walk(held[passed], last)
+    held = held[~passed]
+    idle = retention_ms is not None and held.empty and seen + retention_ms <= final
+    if idle:
         state.remove()
-        return
-    out, new_state, newest_ms = _walk(key, batches, state)
-    if new_state is not None:
-        seen_ms = max(newest_ms or 0, state.get[3] if state.exists else 0)
-        state.update((*new_state, seen_ms))
-        deadline = max(seen_ms + retention_ms, state.getCurrentWatermarkMs() + 1)
-        state.setTimeoutTimestamp(deadline)
-    yield from _emit(key, out)
+    else:
+        state.update((*last, seen, *(held[c].tolist() for c in _HELD)))
+        due = int(held["ms"].min()) if len(held) else seen + (retention_ms or 0)
+        if len(held) or retention_ms is not None:
+            state.setTimeoutTimestamp(max(due - ahead_ms, mark) + 1)
+    if len(out):
+        out.insert(0, "key", key[0])
+        yield out
 
 
 def transition_waits(stream: DataFrame, key: str, t: Column | str, tiebreak: str, is_start, is_end,
-                     event_time: str | None = None, watermark: str | None = None,
-                     retention_ms: int | None = None) -> DataFrame:
+                     event_time: str, tolerance_ms: int, horizon_ms: int, retention_ms: int | None = None) -> DataFrame:
     """Per key, in (t, tiebreak) order: a row with ``is_end`` right after a row
     with ``is_start`` emits ``t - t_start``.
 
-    Output: ``key, t, tb, wait, kind`` where kind is ``wait`` or ``late``.
-    Pandas runs once per key and micro-batch on Arrow batches; the per-key
-    state is three numbers. Bound the micro-batch size (``maxOffsetsPerTrigger``
-    / ``maxFilesPerTrigger``) so one key's rows of a batch stay small.
-
-    With ``event_time``, ``watermark`` and ``retention_ms``, state expires: a
-    key with no rows for ``retention_ms`` of event time (past the watermark)
-    is forgotten, so the state store holds active keys only.
+    Output: ``key, t, tb, wait, kind`` where kind is ``wait`` or ``late``. A
+    row is final once the newest ``event_time`` of the stream is
+    ``tolerance_ms`` later, so a stream's last rows come out when later rows
+    follow. Rows up to ``horizon_ms`` (the tolerance or more) behind are
+    reported as late.
+    Pandas runs once per key and micro-batch, on whole columns; bound the
+    micro-batch size (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``) so
+    one key's rows of a batch stay small. With ``retention_ms``, a key with no
+    rows for so much event time is forgotten, so the state store holds active
+    keys only.
     """
     from functools import partial
 
     from tramline.session import ship_package
+    if horizon_ms < tolerance_ms:
+        raise ValueError("the horizon must not be shorter than the tolerance")
     ship_package(stream.sparkSession)
     tcol = F.col(t) if isinstance(t, str) else t
-    cols = [F.col(key).cast("long").alias(key), tcol.cast("long").alias("_t"),
-            F.col(tiebreak).cast("long").alias("_tb"),
-            is_start.cast("boolean").alias("_start"), is_end.cast("boolean").alias("_end")]
-    expiring = event_time is not None and watermark is not None and retention_ms is not None
-    if not expiring:
-        prepared = stream.select(*cols)
-        return prepared.groupBy(key).applyInPandasWithState(_waits_fn, OUT_SCHEMA, STATE_SCHEMA, "append",
-                                                            GroupStateTimeout.NoTimeout)
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    ev = F.col(event_time)
-    ntz = ev.cast("timestamp_ntz")
-    prepared = stream.select(*cols, ev.cast("timestamp").alias("_event_ts"),
-                             F.timestamp_diff("MILLISECOND", epoch, ntz).alias("_et"))
-    prepared = prepared.withWatermark("_event_ts", watermark)
-    return prepared.groupBy(key).applyInPandasWithState(
-        partial(_waits_fn_expiring, retention_ms), OUT_SCHEMA, STATE_SCHEMA + ", seen_ms long", "append",
-        GroupStateTimeout.EventTimeTimeout)
+    ms = F.timestamp_diff("MILLISECOND", epoch, F.col(event_time).cast("timestamp_ntz"))
+    prepared = stream.select(
+        F.col(key).cast("long").alias(key), tcol.cast("long").alias("_t"), F.col(tiebreak).cast("long").alias("_tb"),
+        F.coalesce(is_start.cast("boolean"), F.lit(False)).alias("_start"),
+        F.coalesce(is_end.cast("boolean"), F.lit(False)).alias("_end"),
+        ms.alias("_ms"), F.timestamp_millis(ms).alias("_event_ts"))
+    return prepared.withWatermark("_event_ts", f"{horizon_ms} milliseconds").groupBy(key).applyInPandasWithState(
+        partial(_waits_fn, horizon_ms - tolerance_ms, retention_ms), OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def latest_per_key(stream: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
