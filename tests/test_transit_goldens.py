@@ -3,6 +3,7 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tramline.plans import transit as tp
 
@@ -179,3 +180,21 @@ def test_map_edge_geometry_offsets(shipped):
 def test_passengers_recent_state(shipped):
     net, ev = shipped
     assert tp.passengers_recent_state(ev).count() == 2370
+
+
+def test_staging_cuts_text_to_its_width(shipped):
+    """A 60-character platform state becomes 50 characters, as a cast to varchar(50) does."""
+    from dataclasses import replace
+
+    from tramline.plans.transit import stage_events
+    _, ev = shipped
+    long = ev.platform_state.withColumn("platform_state", F.lit("x" * 60))
+    staged = stage_events(None, replace(ev, platform_state=long))
+    assert {r.platform_state for r in staged.platform_state.collect()} == {"x" * 50}
+
+
+def test_route_topology_is_served_in_route_order(shipped):
+    from tramline.plans.serve import fetch
+    net, _ = shipped
+    got = fetch("route_topology_mart", tp.route_topology_mart(net))
+    assert list(zip(got.route_id, got.stop_sequence)) == sorted(zip(got.route_id, got.stop_sequence))

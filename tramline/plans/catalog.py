@@ -975,8 +975,7 @@ def seed_scan(spark, d):
                        F.size("ids").alias("n_ids"), F.col("props.k").alias("k"))
 
 
-@register("staging_casts", ("O-P1", "O-P2", "O-P3", "O-P4", "O-P5", "O-P6", "O-P7", "O-P10", "O-P11",
-                            "O-X1"), """
+@register("staging_casts", ("O-X1",), """
 select cast(p_partkey as integer) as part_id, substr(p_name, 1, 10) as name10,
        cast(round(p_retailprice / 100) as integer) as price_hundreds,
        cast(p_size as decimal(18,6)) as size_num, p_brand

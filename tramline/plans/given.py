@@ -221,7 +221,7 @@ product("segments_recent_state", ("O-M3",), "select * from segment_now")
 product("station_passengers_recent_stats", ("O-M4", "O-P1"), "select * from station_now")
 product("passengers_recent_state", ("O-M5", "O-P10"), "select clock_tick, passenger_id, train_id, station_id from passenger_state, now where clock_tick >= t - 100")
 product("passengers_wait_times", ("O-M6",), "select * from waits")
-product("route_topology", ("O-M7", "O-P2", "O-P4"), """select route_id, stop_sequence, station_name, map_x, map_y, segment_km, distance_from_start_km,
+product("route_topology", ("O-M7", "O-P2"), """select route_id, stop_sequence, station_name, map_x, map_y, segment_km, distance_from_start_km,
   max(distance_from_start_km) over () as max_system_length_km from topo""")
 product("trains_linear_positions", ("O-M8", "O-P3"), "select * from positions")
 product("train_spacing", ("O-M9",), "select * from spacing")
@@ -260,6 +260,12 @@ product("map_edge_geometry", ("O-M20",), """select route_id, station_name, next_
   where next_station_name is not null""", lambda df: df.drop("corridor"))
 
 
+@register("product_staged_segments", ("O-P4",), GIVEN + """select segment_id, from_station_id, to_station_id,
+  cast(round(distance_km) as integer) as distance_km, cast(1 as decimal(18,6)) as speed from segments""")
+def staged_segments(spark: SparkSession, d: str) -> DataFrame:
+    return transit.staged_segments(network(spark, d))
+
+
 def check(name: str, operators: tuple[str, ...], sql: str):
     """Register a check of ``integrity`` over the supplied tables."""
     fn = getattr(integrity, name)

@@ -27,7 +27,10 @@ MART_COLUMNS = {
 MART_ORDER = {
     "live_station_crowding": ["total_passengers_in_station"],
     "live_train_positions": ["route_id", "train_id"],
+    "route_topology_mart": ["route_id", "stop_sequence"],
 }
+#: Rows a client gets at most; marts have a row per route, station or train.
+FETCH_ROWS = 1_000_000
 
 
 def shape(mart: str, df: DataFrame) -> DataFrame:
@@ -40,8 +43,11 @@ def shape(mart: str, df: DataFrame) -> DataFrame:
 
 
 def fetch(mart: str, df: DataFrame):
-    """pandas frame of a shaped mart (Arrow transfer)."""
-    return shape(mart, df).toPandas()
+    """pandas frame of a shaped mart (Arrow transfer); a mart of more than ``FETCH_ROWS`` rows is an error."""
+    got = shape(mart, df).limit(FETCH_ROWS + 1).toPandas()
+    if len(got) > FETCH_ROWS:
+        raise ValueError(f"{mart} has more than {FETCH_ROWS} rows; write it to a table instead")
+    return got
 
 
 def axis_max(column: str, fallback: float):

@@ -53,6 +53,9 @@ class Events:
     station_stats: DataFrame
 
 
+# Text widths of the staging views; an explicit cast truncates.
+VARCHAR = {"platform_state": {"platform_state": 50}, "world_clock": {"day_of_week": 10}}
+
 _EVENT_SCHEMAS = {
     "world_clock": WORLD_CLOCK, "train_state": TRAIN_STATE, "passenger_state": PASSENGER_STATE,
     "rail_segment_state": SEGMENT_STATE, "platform_state": PLATFORM_STATE, "station_stats": STATION_STATS,
@@ -92,6 +95,8 @@ def stage_events(seed: Events | None, live: Events) -> Events:
         if seed is not None and f.name != "station_stats" and getattr(seed, f.name) is not None:
             parts.insert(0, getattr(seed, f.name))
         out[f.name] = typed_union(parts, schema)
+        for column, width in VARCHAR.get(f.name, {}).items():
+            out[f.name] = out[f.name].withColumn(column, F.left(column, F.lit(width)))
     return Events(**out)
 
 

@@ -23,6 +23,8 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
+# The column names and types of all tables below.
+
 # ---- static network tables ------------------------------------------------
 
 STATIONS = _struct(("station_id", I), ("station_name", S), ("map_x", I), ("map_y", I))
