@@ -11,8 +11,8 @@ from tramline.plans.catalog import CATALOG
 
 STREAMING = {"stream_upsert", "stream_latest", "stream_waits", "stream_late", "stream_windows", "purge_replay",
              "seed_scan"}
-# one-row cross joins and the broadcast probe join are the only nested loops
-NESTED_LOOP_OK = {"network_kpis", "kpis_empty", "as_of_plan", "axis_bounds"}
+# the broadcast probe join is the only nested loop
+NESTED_LOOP_OK = {"as_of_plan"}
 
 
 def plan(df) -> str:

@@ -410,9 +410,10 @@ def _kpis(li: DataFrame, o: DataFrame) -> DataFrame:
                    F.count("l_orderkey").alias("n_lines"))
     ords = o.agg(F.coalesce(F.sum(money("o_totalprice").cast("decimal(28,2)")), F.lit(0)).cast("decimal(38,2)").alias("total_price"),
                  F.count("o_orderkey").alias("n_orders"))
-    # both sides are single-row aggregates: the cross join is 1 x 1
-    return lines.crossJoin(ords).select("total_qty", "avg_discount", "n_lines", "total_price", "n_orders",
-                                        (F.col("n_lines") + F.col("n_orders")).alias("n_rows"))
+    # the other single row comes in as a scalar subquery, not by a join
+    other = ords.select(F.struct("total_price", "n_orders")).scalar()
+    return lines.select("total_qty", "avg_discount", "n_lines", other["total_price"].alias("total_price"),
+                        other["n_orders"].alias("n_orders"), (F.col("n_lines") + other["n_orders"]).alias("n_rows"))
 
 
 @register("network_kpis", ("O-A3", "O-A4", "O-J8", "O-M16"), _kpi_sql(""))
@@ -1103,8 +1104,7 @@ def axis_bounds(spark, d):
     secs = _waits(spark, d).select((F.col("wait_us") / F.lit(1000000)).cast("long").alias("s"))
     crowd = counts.agg(axis_max("n", 10).cast("long").alias("crowd_axis_max"))
     wait = secs.agg(padded_axis("s", 20.0, 1.2).alias("wait_axis_max"))
-    # two one-row aggregates
-    return crowd.crossJoin(wait)
+    return crowd.select("crowd_axis_max", wait.scalar().alias("wait_axis_max"))
 
 
 # these entries register themselves into CATALOG

@@ -272,7 +272,7 @@ def live_system_kpis(ev: Events, net: Network) -> DataFrame:
         F.count("train_id").cast("long").alias("active_trains"))
     stations = live_station_crowding(ev, net).agg(
         F.coalesce(F.sum("passengers_waiting"), F.lit(0)).cast("long").alias("waiting"))
-    return trains.crossJoin(stations).select(
+    return trains.withColumn("waiting", stations.scalar()).select(
         (F.col("riding") + F.col("waiting")).alias("total_passengers_in_system"),
         F.col("riding").alias("total_passengers_riding"),
         F.col("waiting").alias("total_passengers_waiting"),
