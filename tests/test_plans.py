@@ -49,10 +49,15 @@ def test_scans_read_only_used_columns(spark):
 
 
 def test_chunk_edge_join_keeps_window_partitioning(spark):
-    """With hot keys (tiny threshold in tests), the large side of the edge-fix
-    join is the window output itself: only one hash exchange on (_chunk, key)
-    feeds the window, and the join adds none on that side."""
-    text = plan(CATALOG["wait_times"].fn(spark, SF_SMALL)).split("===== Subqueries")[0]
+    """Without broadcasts, the large side of the edge-fix join is the window
+    output itself: only one hash exchange on (_chunk, key) feeds the window,
+    and the join adds none on that side."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(CATALOG["wait_times"].fn(spark, SF_SMALL)).split("===== Subqueries")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     tree = text.split("\n\n")[0]
     smj = [line for line in tree.splitlines() if "SortMergeJoin" in line]
     assert smj, tree

@@ -42,11 +42,11 @@ IMPL = {
     "J5": ("`current_rows` scalar subquery", "current_clock"),
     "J6": ("`recent`: range bound as scalar subquery; `as_of_latest` broadcast range join", "recent_window"),
     "J7": ("`recent` replaces the cross join + filter", "recent_window"),
-    "J8": ("crossJoin of two one-row aggregates (`live_system_kpis`)", "network_kpis"),
+    "J8": ("one-row aggregates met by scalar subqueries (`live_system_kpis`)", "network_kpis"),
     "J9": ("operators/nested.py `explode_json` (explode_outer)", "json_unnest"),
     "J10": ("operators/sets.py `ordered_list`; plans/rules.py `next_stop`", "ordered_collect"),
     "J11": ("operators/checks.py `missing` (left_anti)", "orphans"),
-    "J12": ("left_semi joins in operators/sequence.py `_chunked`, plans/integrity.py", "test_integrity"),
+    "J12": ("left_semi joins in plans/integrity.py", "test_integrity"),
     "A1": ("operators/state.py `max_of`", "current_clock"),
     "A2": ("plans/transit.py `route_lengths`", "circular_gaps"),
     "A3": ("plans/transit.py `live_system_kpis`", "network_kpis"),

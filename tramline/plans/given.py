@@ -361,3 +361,17 @@ check("q21_route_connectivity", ("O-Q21",), " union all ".join(
                              "from (select route_id, count(*) as n from routes group by 1) where n < 2") for kind in ("train", "passenger")))
 check("q22_platform_occupancy", ("O-Q22",), _found("platform_double_occupied", "state", "train_state", "station_id,route_id", "station_id || ',' || route_id",
       "from (select station_id, route_id, count(*) as n from train_snap join trains using (train_id) where station_id is not null group by 1, 2) where n > 1"))
+
+
+@register("rule_next_stop_history", ("O-R1",), GIVEN + """select s.train_id, t.route_id as route, array_to_string(seen, ',') as history,
+  r.station_id as next_station, len(seen) = l.n as complete
+  from train_snap s join trains t using (train_id) left join routes r on r.route_id = t.route_id and r.stop_sequence = len(seen)
+  left join (select route_id, count(*) as n from routes group by 1) l on l.route_id = t.route_id""")
+def next_stop_history(spark: SparkSession, d: str) -> DataFrame:
+    from tramline.plans.rules import next_stop_from_history
+    net, ev = network(spark, d), events(spark, d)
+    trains = integrity.snapshot(ev.train_state, ["train_id"], ev).join(
+        net.trains.select("train_id", F.col("route_id").alias("route")), "train_id")
+    got = next_stop_from_history(trains, integrity.route_rows(net.routes), "train_id", "route", "stops_seen_so_far")
+    history = F.concat_ws(",", F.transform("stops_seen_so_far", lambda x: x.cast("string")))
+    return got.select("train_id", "route", history.alias("history"), "next_station", "complete")
