@@ -54,7 +54,9 @@ TEMPLATES = [
      ["free and unencumbered software"]),
 ]
 #: Index words of a template, the share of their weight that must align, and the score that counts.
-RARE, RARE_SHARE, LEAST_SCORE = 5, 0.5, 0.7
+RARE, RARE_SHARE, LEAST_SCORE = 5, 0.35, 0.7
+#: Words put in or left out that an alignment may pass over.
+SLACK = 3
 
 
 def _words(text: str) -> list[str]:
@@ -153,9 +155,13 @@ def scan_texts(text: pa.Array, index: Index) -> dict[str, list]:
         template = index.templates[ti]
         if rare < RARE_SHARE * template.rare_weight:
             continue
-        a, b = max(diagonal, int(w.first[r])), min(diagonal + len(template.hashes), int(w.first[r + 1]))
-        same = wh[a:b] == template.hashes[a - diagonal:b - diagonal]
-        got = float(template.weights[a - diagonal:b - diagonal][same].sum() / template.weights.sum())
+        # template words that stand at their relative position, up to the slack
+        size, lo_r, hi_r = len(template.hashes), int(w.first[r]), int(w.first[r + 1])
+        at = diagonal + np.arange(size)[:, None] + np.arange(-SLACK, SLACK + 1)[None, :]
+        near = np.where((at >= lo_r) & (at < hi_r), wh[np.clip(at, 0, len(wh) - 1)], np.uint64(0))
+        same = ((near == template.hashes[:, None]) & (at >= lo_r) & (at < hi_r)).any(axis=1)
+        got = float(template.weights[same].sum() / template.weights.sum())
+        a, b = max(diagonal - SLACK, lo_r), min(diagonal + size + SLACK, hi_r)
         if got >= LEAST_SCORE and all(len(_phrase_at(wh[a:b], w.row[a:b], x)) for x in template.phrases):
             labels[r].add(template.label)
             score[r] = max(score[r], got)
