@@ -20,7 +20,7 @@ sys.path.insert(0, HERE)
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
 
     from tramline.session import get_spark
