@@ -7,7 +7,7 @@ chunk is encoded once by the tokenizers library and its ids are kept, so a
 text's ids are those of its chunks in order. Where a cut would not be plain
 (special-token markers, white space beyond ASCII beside words)
 the library encodes the whole text. The cache is dropped when it has grown to
-CACHE chunks; that changes no result.
+CACHE chunks (or eight ids for each); that changes no result.
 """
 
 from __future__ import annotations
@@ -81,9 +81,9 @@ class ChunkTokenizer:
 
     def _clear(self) -> None:
         self._keys = np.zeros(0, np.uint64)
-        self._entry = np.zeros(0, np.int64)
-        self._at = np.zeros(0, np.int64)
-        self._len = np.zeros(0, np.int64)
+        self._entry = np.zeros(0, np.int32)
+        self._at = np.zeros(0, np.int32)
+        self._len = np.zeros(0, np.int32)
         self._ids = np.zeros(0, np.uint32)
 
     def whole(self, text: str) -> np.ndarray:
@@ -111,9 +111,9 @@ class ChunkTokenizer:
         for k, e in zip(rest, self.tokenizer.encode_batch_fast(
                 [chunks[k].decode() for k in rest], add_special_tokens=False), strict=True):
             got[k] = e.ids
-        n = np.array([len(g) for g in got], np.int64)
-        at = len(self._ids) + np.cumsum(n) - n
-        entry = len(self._at) + np.arange(len(got))
+        n = np.array([len(g) for g in got], np.int32)
+        at = (len(self._ids) + np.cumsum(n) - n).astype(np.int32)
+        entry = (len(self._at) + np.arange(len(got))).astype(np.int32)
         self._ids = np.concatenate([self._ids, np.array([i for g in got for i in g], np.uint32)])
         self._at, self._len = np.concatenate([self._at, at]), np.concatenate([self._len, n])
         keys = np.concatenate([self._keys, hashes])
@@ -166,7 +166,7 @@ class ChunkTokenizer:
         at, end, row = at[keep], end[keep], row[keep]
         src = LOWER[buf] if self.folds else buf
         hashes, pick, inverse = np.unique(run_hashes(src, at, end), return_index=True, return_inverse=True)
-        if len(self._keys) > CACHE:
+        if len(self._keys) > CACHE or len(self._ids) > 8 * CACHE:
             self._clear()
         place = np.searchsorted(self._keys, hashes)
         known = np.zeros(len(hashes), np.bool_)

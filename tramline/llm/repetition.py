@@ -7,7 +7,7 @@ place covers all shorter repeats there, so the union of the spans
 ``[i, i + lcp)`` is the part of the text that occurs twice or more. The rule
 limits the fraction covered by long repeats and the longest single repeat.
 
-Texts are handled in slices of about 2 MB of Arrow batches, rows of a slice in
+Texts are handled in slices of about half a megabyte of Arrow batches, rows of a slice in
 one suffix array (ranks never tie across rows), so memory follows the slice or
 the longest text, and no shuffle is needed.
 

@@ -14,8 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Text bytes handled at once; one longer text is handled alone.
-SLICE_BYTES = 2 << 20
+#: Text bytes handled at once; one longer text is handled alone. Hashing takes about 100 bytes for each.
+SLICE_BYTES = 512 << 10
 
 _RNG = np.random.default_rng(20240607)
 _BYTE = _RNG.integers(0, 1 << 64, 256, dtype=np.uint64) | np.uint64(1)
