@@ -30,6 +30,17 @@ def test_contexts_of_seeds_find_other_identifiers(spark):
     assert got[50] == [("context", "ab-77123")] and not got[51] and not got[52] and not got[0]
 
 
+def test_found_identifiers_lead_to_further_patterns(spark):
+    rows = [(i, f"please call desk +1 (555) 123-45{i:02d} today") for i in range(20)]
+    rows += [(100 + i, f"please call desk AB-77{i:03d} today") for i in range(10)]
+    rows += [(200 + i, f"with badge no AB-77{i:03d} today") for i in range(10)] + [(300, "with badge no ZQ-55123 today")]
+    rows += [(400 + i, f"order part XY-99{i:03d} today") for i in range(10)]
+    got = {x.doc_id: [s["match"] for s in x.added]
+           for x in find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[k + i] == [f"ab-77{i:03d}"] for k in (100, 200) for i in range(10)) and got[300] == ["zq-55123"]
+    assert not any(got[400 + i] for i in range(10))
+
+
 def test_licence_wording_without_a_base_phrase(spark):
     rows = [(1, "Redistribution and use in source and binary forms, with or without any modification, are permitted provided "
                 "that the following conditions are met: none."),

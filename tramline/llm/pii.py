@@ -5,9 +5,10 @@ Luhn's rule, phone numbers). Each mention of a seed, and of any other token
 that looks like an identifier, has lexical patterns: the word, and the two
 words, before it. Patterns and instances (the distinct strings) form a
 bipartite graph. In each round a pattern's confidence is the mean score of its
-instances, smoothed and given enough seeds, and an unseen instance's score is
-the chance that one of its confident patterns is right (noisy or). After some
-rounds, instances with a high score are found identifiers: their mentions
+instances, smoothed and given enough support, and an unseen instance's score is
+the chance that one of its confident patterns is right (noisy or). Instances
+with a high score are found identifiers and support further patterns, beside
+the seeds, by their scores. When nothing is added any more, their mentions
 after a confident pattern are added, as kind ``context``.
 
 All work is native. Texts are scanned once; mentions without texts are
@@ -36,9 +37,7 @@ CARD = r"(?<![0-9])[0-9](?:[\x20-]?[0-9]){11,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 #: Other tokens that look like identifiers: up to four letters, then a digit and more.
 IDENTIFIER = r"(?<![A-Za-z0-9@.+_-])[A-Za-z]{0,4}-?[0-9][A-Za-z0-9_/-]{4,}"
-#: Rounds over the graph.
-ROUNDS = 3
-#: Seeds that a pattern needs, the smoothing of its mean, and the least confidence that counts.
+#: Seeds, or found instances by their scores, that a pattern needs, the smoothing of its mean, and the least confidence that counts.
 LEAST_SEEDS, SMOOTHING, CONFIDENT = 5, 2.0, 0.5
 #: Least score of a found instance.
 FOUND = 0.6
@@ -100,21 +99,34 @@ def mentions(scanned: DataFrame) -> DataFrame:
     return rows.select("text_key", "seed", "start", "end", "instance", F.explode(patterns).alias("pattern"))
 
 
-def bootstrap(rows: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
-    """Confident patterns (pattern, confidence) and found instances (instance, score) of the graph."""
+def bootstrap(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Confident patterns (pattern, confidence) and found instances (instance, score) of the graph.
+
+    A pattern's support is the sum of the scores of its seeds and its found
+    instances. A confident pattern stays, with its greatest confidence, so scores
+    only grow; the rounds end when no pattern and no found instance is added.
+    """
     edges = settle(rows.groupBy("pattern", "instance").agg(F.max(F.col("seed").cast("int")).alias("seed")), "edges")
     scores = edges.groupBy("instance").agg(F.max("seed").cast("double").alias("score"), (F.max("seed") == 1).alias("known"))
     scores = settle(scores, "scores")
-    for _ in range(rounds):
-        confident = edges.join(scores, "instance").groupBy("pattern").agg(
-            F.sum("score").alias("weight"), F.count("*").alias("n"), F.sum(F.col("known").cast("int")).alias("seeds"))
-        confident = settle(confident.withColumn("confidence", F.col("weight") / (F.col("n") + SMOOTHING)).filter(
-            (F.col("seeds") >= LEAST_SEEDS) & (F.col("confidence") >= CONFIDENT)).select("pattern", "confidence"), "patterns")
+    confident, size = None, None
+    while True:
+        found = F.col("known") | (F.col("score") >= FOUND)
+        new = edges.join(scores, "instance").groupBy("pattern").agg(
+            F.sum("score").alias("weight"), F.count("*").alias("n"), F.sum(F.when(found, F.col("score")).otherwise(0.0)).alias("support"))
+        new = new.withColumn("confidence", F.col("weight") / (F.col("n") + SMOOTHING)).filter(
+            (F.col("support") >= LEAST_SEEDS - 1e-9) & (F.col("confidence") >= CONFIDENT)).select("pattern", "confidence")
+        if confident is not None:
+            new = new.union(confident).groupBy("pattern").agg(F.max("confidence").alias("confidence"))
+        confident = settle(new, "patterns")
         reached = edges.filter("seed = 0").join(confident, "pattern").groupBy("instance").agg(
             (1 - F.exp(F.sum(F.log(1 - F.least("confidence", F.lit(0.999)))))).alias("reached"))
         scores = settle(scores.join(reached, "instance", "left").select(
             "instance", F.when(F.col("known"), 1.0).otherwise(F.coalesce("reached", F.lit(0.0))).alias("score"), "known"), "scores")
-    return confident, scores.filter(~F.col("known") & (F.col("score") >= FOUND)).select("instance", "score")
+        reached = scores.filter(~F.col("known") & (F.col("score") >= FOUND)).select("instance", "score")
+        before, size = size, (confident.count(), reached.count())
+        if size == before:
+            return confident, reached
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
