@@ -16,11 +16,12 @@ from tramline.llm.queries import secrets as q7
 from tramline.llm.queries import sharding as q2
 from tramline.llm.queries import substrings as q4
 from tramline.llm.queries import token_files as q10
+from tramline.llm.queries import whitening as q11
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-for _module in (q1, q2, q3, q4, q5, q6, q7, q8, q9, q10):
+for _module in (q1, q2, q3, q4, q5, q6, q7, q8, q9, q10, q11):
     QUERIES[_module.NAME] = _module.query
     if _module.SQL:
         ORACLE_SQL[_module.NAME] = _module.SQL

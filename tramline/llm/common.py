@@ -23,6 +23,10 @@ def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared scratch folder and read it back.
 
@@ -53,4 +57,5 @@ def with_python(spark: SparkSession) -> None:
 
 
 __all__ = ["BROADCAST_ROWS", "UPPER", "WORD", "benchmark", "broadcast_if_small", "documents",
+           "embeddings",
            "lower_ascii", "scratch_path", "settle", "with_python"]
