@@ -143,3 +143,81 @@ def shared_passages(rows, passage=50):
         w = words(text)
         out.append(any(len(index[tuple(w[i:i + passage])]) > 1 for i in range(len(w) - passage + 1)))
     return out
+
+
+def alignment(rows, byte_tokenizer, pieces):
+    """[(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256)] by comparing all token pairs of a text.
+
+    ``byte_tokenizer``: text -> [(id, bytes)] of space+text; ``pieces``: text -> [(id, bytes)].
+    """
+    found, counts = [], collections.Counter()
+    for doc_id, text in rows:
+        a, b = (byte_tokenizer(" " + text), pieces(text)) if text else ([], [])
+        whole = (" " + (text or "")).encode()
+        if not text or b"".join(t for _, t in a) != whole or b"".join(t for _, t in b) != whole:
+            a = b = []
+        ranges = []
+        for side in (a, b):
+            at, out = 0, []
+            for k, t in side:
+                out.append((k, at, at + len(t)))
+                at += len(t)
+            ranges.append(out)
+        links, j = [], 0
+        for x, s, e in ranges[0]:
+            while j < len(ranges[1]) and ranges[1][j][2] <= s:
+                j += 1
+            i = j
+            while i < len(ranges[1]) and ranges[1][i][1] < e:
+                links.append((x, ranges[1][i][0]))
+                i += 1
+        shared = sorted({e for _, _, e in ranges[0]} & {e for _, _, e in ranges[1]})
+        groups, lo = [], 0
+        for hi in shared:
+            groups.append("|".join(",".join(str(k) for k, s, e in r if lo <= s and e <= hi) for r in ranges)) if len(a) < 500 else None
+            lo = hi
+        counts.update(links)
+        found.append((doc_id, len(a), len(b), len(shared), links, ";".join(groups) if len(a) < 500 else None))
+    best = {}
+    for (_, y), n in counts.items():
+        best[y] = max(best.get(y, 0), n)
+    return [(d, n_a, n_b, g, len(links), sum(counts[p] == best[p[1]] for p in links), sum(counts[p] for p in links),
+             None if text is None else sha(text) if text else "") for d, n_a, n_b, g, links, text in found]
+
+
+def whitening(vectors, most=16):
+    """(n, {key of a point: deviation}, V, e) for vectors of one length: exact sums, then a plain eigendecomposition."""
+    import numpy as np
+
+    points = {tuple(int(np.floor(64 * float(c))) + 1_000_000 for c in v) for v in vectors}
+    n, d = len(points), len(next(iter(points)))
+    total = [sum(p[j] for p in points) for j in range(d)]
+    centred = np.array([[(n * p[j] - total[j]) / n for j in range(d)] for p in sorted(points)])
+    e, v = np.linalg.eigh(centred.T @ centred / n)
+    return n, total, v[:, ::-1][:, :most], e[::-1]
+
+
+def near_vectors(rows, least=0.9):
+    """[(key, n_links, component)] for (key, vector) rows, by comparing all pairs."""
+    import numpy as np
+
+    ok = [i for i, (_, v) in enumerate(rows) if v is not None and len(v) and all(c is not None and np.isfinite(c) for c in v) and any(c != 0 for c in v)]
+    parent, links = list(range(len(rows))), [0] * len(rows)
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    unit = {i: np.array(rows[i][1], float) / np.linalg.norm(np.array(rows[i][1], float)) for i in ok}
+    for i in ok:
+        for j in ok:
+            if i < j and len(unit[i]) == len(unit[j]) and float(unit[i] @ unit[j]) >= least:
+                links[i] += 1
+                links[j] += 1
+                parent[max(find(i), find(j))] = min(find(i), find(j))
+    members = collections.defaultdict(list)
+    for i in range(len(rows)):
+        members[find(i)].append(rows[i][0])
+    least_key = {r: min((k for k in ks if k is not None), default=None) for r, ks in members.items()}
+    return [(rows[i][0], links[i], least_key[find(i)]) for i in range(len(rows))]

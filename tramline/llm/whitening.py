@@ -178,7 +178,7 @@ def whiten(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", most
     m = len(e)
     onto = vectors / np.sqrt(e)
     error = float(np.abs(_gram(fit, d, lambda x: _centred(x, total, n) @ onto, m) / n - np.eye(m)).max()) if m else 0.0
-    explained = e / trace if m else e
+    explained = e * n / trace if m else e
     names = [key, "component", "n", "deviation", "whitened", "explained", "identity_error"]
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
