@@ -96,7 +96,7 @@ def test_whitening_without_full_rank(spark):
 def test_whitening_of_few(spark, vectors):
     rows = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
     got = whiten(rows).collect()
-    assert len(got) == (len(vectors) if len(vectors) == 3 else 0) * (2 if vectors[-1] == [0.0, 0.0] else 1)
+    assert len(got) == (3 if len(vectors) == 3 else 0)  # beside 1e30 the other entry has no spread in double precision
 
 
 def test_points_beyond_32_bits_stay_exact(spark):

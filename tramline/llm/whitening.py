@@ -22,7 +22,7 @@ Defined cases: a vector that is null or holds null or non-finite entries is
 dropped; so is an empty one, and one whose length is not the table's most
 frequent (of equally frequent ones the larger). Entries beyond 2**34 in size are held
 there, so that points stay whole numbers that can be summed. Directions
-without variance give no components, so a fit list of one point gives no rows.
+without variance (a spread below 1e-10 of the widest) give no components, so a fit list of one point gives no rows.
 Repeated rows and null ids are rows like others; other columns are ignored. A
 deviation beyond 64 bits is null.
 """
