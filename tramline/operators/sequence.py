@@ -4,11 +4,14 @@ A plain ``Window.partitionBy(key)`` sends every row of a key to one task, so
 a key holding a third of the log becomes a third of the job on one core. These
 operators therefore always work in *chunks*, by one algorithm for every input:
 
-1. the first ordering column's range over the whole input is cut into equal
-   steps, one for every ``tramline.sequence.chunkRows`` rows; a row's chunk is
-   its step. Range and row count are scalar subqueries of the same query, so
-   building a frame starts no job, and a chunk id is a pure function of the
-   data: every branch of the plan and every retry computes the same ids;
+1. the first ordering column is cut at quantiles, one chunk for every
+   ``tramline.sequence.chunkRows`` rows (``MOST_CHUNKS`` at most): rows whose
+   hash falls below a bound that follows from the row count are a sample of it,
+   and a row's chunk is the number of split points at or below its value. Row
+   count and split points are scalar subqueries of the same query, so building
+   a frame starts no job, and a chunk id is a pure function of the data: every
+   branch of the plan and every retry computes the same ids. Values far out or
+   crowded in a corner of the range move split points only;
 2. the window runs inside ``(key, chunk)`` groups -- one shuffle;
 3. rows at chunk edges are fixed from a per-(key, chunk) summary (one row per
    chunk that a key has), windowed per key and joined on the window's own
@@ -36,6 +39,8 @@ CHUNK = "_chunk"
 #: The key columns as one struct: never null itself, so null keys join and are cut like others.
 KEY = "_key"
 DEFAULT_CHUNK_ROWS = 1_000_000
+#: Chunks that an input is cut into at most (larger inputs have larger chunks), and sampled values for each.
+MOST_CHUNKS, PER_CHUNK = 4095, 32
 
 
 def _number(df: DataFrame, name: str) -> Column:
@@ -59,13 +64,35 @@ def with_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
         return df
     x = _number(df, order[0])
     rows = int(df.sparkSession.conf.get("tramline.sequence.chunkRows", str(DEFAULT_CHUNK_ROWS)))
-    values = df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    stats = values.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"),
-                                F.ceil(F.count("x") / F.lit(rows)).cast("double").alias("n"))).scalar()
-    span = stats["hi"] - stats["lo"]
-    step = F.when(span > 0, F.floor((x - stats["lo"]) / span * stats["n"])).otherwise(F.lit(0))
-    chunk = F.when(x.isNull(), F.lit(-1)).when(F.isnan(x), stats["n"]).otherwise(F.least(step, stats["n"] - 1))
-    return df.withColumn(CHUNK, chunk.cast("long"))
+    hashed = [c for c in _dedupe(keys, order) if not isinstance(df.schema[c].dataType, T.MapType)]
+    splits = _split_points(df, x, F.xxhash64(*hashed), rows)
+    # a binary search over the split points: how many are at or below x
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(MOST_CHUNKS.bit_length()))])
+    found = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= F.size("_splits")) & (F.get("_splits", at + step - 1) <= F.col("_x")), at + step).otherwise(at))
+    chunk = F.when(F.col("_x").isNull(), F.lit(-1)).when(F.isnan("_x"), F.lit(MOST_CHUNKS + 1)).otherwise(found)
+    placed = df.withColumns({"_x": x, "_splits": splits})
+    return placed.withColumn(CHUNK, chunk.cast("long")).drop("_x", "_splits")
+
+
+def _split_points(df: DataFrame, x: Column, key_hash: Column, rows: int) -> Column:
+    """Scalar subquery: the ascending values at which chunks of about ``rows`` rows start (an array of doubles).
+
+    The sample has about PER_CHUNK values for each chunk; its size is bounded
+    by PER_CHUNK * MOST_CHUNKS, values weighted by how often they were met.
+    """
+    count = df.agg(F.count(F.lit(1)))
+    chunks = F.least(F.ceil(count.scalar() / F.lit(rows)), F.lit(MOST_CHUNKS))
+    share = chunks * PER_CHUNK / count.scalar()
+    uniform = F.shiftrightunsigned(key_hash, 33) / float(1 << 31)
+    sample = df.select(x.alias("x"), uniform.alias("u")).where(F.col("x").isNotNull() & ~F.isnan("x") & (F.col("u") < share))
+    weighed = sample.groupBy("x").agg(F.count(F.lit(1)).alias("w"))
+    # bounded by the sample's size, so one task orders it
+    before = F.coalesce(F.sum("w").over(Window.orderBy("x").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = weighed.select("x", before.alias("before"), F.sum("w").over(Window.partitionBy()).alias("total"))
+    number = F.floor(F.col("before") * chunks / F.col("total"))
+    starts = placed.groupBy(number.alias("chunk")).agg(F.min("x").alias("x")).where("chunk > 0")
+    return starts.agg(F.array_sort(F.collect_list("x"))).scalar()
 
 
 def _dedupe(*groups: Sequence[str]) -> list[str]:
@@ -92,7 +119,7 @@ def neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.select("*", *[shift(c).over(w).alias(prefix + c) for c in columns])
 
-    ch = with_chunks(df, keys, order).withColumn(KEY, F.struct(*keys))
+    ch = with_chunks(df, keys, order).withColumn(KEY, F.struct(*keys) if keys else F.struct(F.lit(0)))
     w = Window.partitionBy(CHUNK, KEY).orderBy(*order)
     local = ch.select("*", *[shift(c).over(w).alias(prefix + c) for c in columns],
                       shift(F.lit(True)).over(w).isNull().alias("_edge"))
@@ -122,7 +149,7 @@ def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(alias, F.sum(value).over(w))
 
-    ch = with_chunks(df, keys, order).withColumn(KEY, F.struct(*keys))
+    ch = with_chunks(df, keys, order).withColumn(KEY, F.struct(*keys) if keys else F.struct(F.lit(0)))
     w = Window.partitionBy(CHUNK, KEY).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ch.withColumn("_local", F.sum(value).over(w))
     totals = local.groupBy(CHUNK, KEY).agg(F.sum(value).alias("_tot"))
@@ -135,6 +162,25 @@ def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
     return joined.select(*base_cols, total.alias(alias))
 
 
+def carry_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str],
+                  prefix: str = "last_") -> DataFrame:
+    """Add ``<prefix><col>`` = the last value of ``col`` that is not null, up to and including the row.
+
+    Chunks carry their last values to the chunks after them, whatever lies between.
+    """
+    keys, order, columns = list(keys), list(order), list(columns)
+    base_cols = df.columns
+    ch = with_chunks(df, keys, order).withColumn(KEY, F.struct(*keys) if keys else F.struct(F.lit(0)))
+    w = Window.partitionBy(CHUNK, KEY).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ch.select("*", *[F.last(c, ignorenulls=True).over(w).alias(f"_{prefix}{c}") for c in columns])
+    ends = local.groupBy(CHUNK, KEY).agg(*[
+        F.max(F.when(F.col(c).isNotNull(), F.struct(*order, F.col(c).alias("_v")))).alias(f"_end_{c}") for c in columns])
+    earlier = Window.partitionBy(KEY).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    carry = ends.select(CHUNK, KEY, *[F.last(f"_end_{c}", ignorenulls=True).over(earlier).alias(f"_carry_{c}") for c in columns])
+    joined = local.join(carry, [CHUNK, KEY], "left")
+    return joined.select(*base_cols, *[F.coalesce(f"_{prefix}{c}", F.col(f"_carry_{c}")["_v"]).alias(prefix + c) for c in columns])
+
+
 def first_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str],
                    prefix: str = "first_") -> DataFrame:
     """Per key, the values on the first row by ``order`` (partial aggregate)."""

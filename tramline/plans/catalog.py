@@ -770,14 +770,29 @@ where rn = 1
 """)
 def as_of_plan(spark, d):
     o = Tables(spark, d).orders.select("o_custkey", "o_orderkey", "o_orderdate")
-    # one probe per calendar year of the data: bounded by the years covered
     probes = o.select(F.date_trunc("year", F.col("o_orderdate")).cast("timestamp_ntz").alias("probe")).distinct()
     from tramline.plans.rules import as_of_latest
-    got = as_of_latest(o, F.broadcast(probes), "o_custkey", "o_orderdate", "probe", ["o_orderkey"])
+    got = as_of_latest(o, probes, "o_custkey", "o_orderdate", "probe", ["o_orderkey"])
     return got.select("o_custkey", us("probe").alias("probe_us"), "o_orderkey",
                       us("o_orderdate").alias("o_orderdate_us"))
 
 
+@register("as_of_views", ("O-R3", "O-W1"), """
+select p.event_id, p.user_id, v.event_id as view_id, epoch_us(p.ts) - epoch_us(v.ts) as since_us
+from (select * from events where event_type = 'purchase') p
+left join (select * from events where event_type = 'view') v on v.event_id = (
+  select max_by(x.event_id, (x.ts, x.event_id)) from events x
+  where x.event_type = 'view' and x.user_id = p.user_id and x.ts <= p.ts)
+""")
+def as_of_views(spark, d):
+    """Each purchase with the user's latest view up to then: an as-of merge on the user."""
+    from tramline.operators.asof import as_of_merge
+    e = Tables(spark, d).events.select("event_id", "user_id", "event_type", us("ts").alias("t"))
+    views = e.where("event_type = 'view'").withColumnRenamed("event_id", "view_id")
+    got = as_of_merge(e.where("event_type = 'purchase'"), views, ["user_id"], "t", "t", ["view_id"], ["view_id", "t"])
+    return got.select("event_id", "user_id", F.col("asof_view_id").alias("view_id"), (F.col("t") - F.col("asof_t")).alias("since_us"))
+
+
 @register("capacity_allocation", ("O-R4",), """
 select o_custkey, o_orderkey, rn as slot from (
   select o.o_custkey, o.o_orderkey,

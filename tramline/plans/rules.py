@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramline.functions import next_in_cycle
+from tramline.operators.asof import latest_at_probes
 from tramline.operators.sequence import neighbors, running_total
 from tramline.operators.state import latest_by_key
 from tramline.schemas import PLATFORM_STATES
@@ -70,27 +71,8 @@ def trips_due(plans: DataFrame, clock: DataFrame, time_keys: Sequence[str], who:
 
 def as_of_latest(rows: DataFrame, probes: DataFrame, key: str, time: str, probe: str,
                  tiebreak: Sequence[str]) -> DataFrame:
-    """O-R3: per key and probe time, the latest row with ``time <= probe``.
-
-    Two steps keep the large input at 1x:
-
-    1. each row is assigned the first probe at or after it (the sorted probe
-       list -- one row per sampled time, a bounded array -- arrives as a scalar
-       subquery), and only the latest row per (key, that probe) survives, as a
-       partial aggregate;
-    2. those per-bucket winners, far fewer than the rows, meet every later
-       probe in a broadcast range join, and the latest per (key, probe) wins.
-
-    Rows after the last probe belong to no probe and are dropped.
-    """
-    tiebreak = list(tiebreak)
-    probe_list = probes.select(F.array_sort(F.collect_list(probe))).scalar()
-    bucketed = rows.withColumn("_probes", probe_list) \
-        .withColumn("_bucket", F.array_min(F.filter("_probes", lambda p: p >= F.col(time)))).drop("_probes")
-    winners = latest_by_key(bucketed.where(F.col("_bucket").isNotNull()), [key, "_bucket"], [time, *tiebreak],
-                            [time, *tiebreak])
-    spread = winners.join(probes, F.col(probe) >= F.col("_bucket"), "inner")
-    return latest_by_key(spread, [key, probe], [time, *tiebreak], [time, *tiebreak])
+    """O-R3: per key and probe time, the latest row with ``time <= probe`` (see ``operators.asof``)."""
+    return latest_at_probes(rows, probes, key, time, probe, tiebreak)
 
 
 def allocate(requests: DataFrame, capacity: DataFrame, key: str, order: Sequence[str], cap: str,
