@@ -4,6 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import random
+import re
 
 import pytest
 
@@ -52,14 +53,25 @@ def test_uneven_values_are_cut_at_quantiles(spark, spread):
         assert len(sizes) >= n // rows * 3 // 4 and max(sizes) <= 2 * rows
 
 
-def test_chunk_ids_do_not_depend_on_partitions(spark):
-    df = _skewed(spark).withColumn("t", F.col("t") * F.col("t"))
-    spark.conf.set("tramline.sequence.chunkRows", "700")
+def test_the_sketch_is_evaluated_once(spark):
+    """Both branches of the plan take their chunk ids from one subquery."""
+    df = neighbors(_skewed(spark), ["k"], ["t"], ["v"], "prev")
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert len(set(re.findall(r"[Ss]ubquery#\d+", text))) == 1
+
+
+def test_more_chunks_than_quantiles(spark):
+    df = _skewed(spark)
+    spark.conf.set("tramline.sequence.chunkRows", "10")
     try:
-        ids = [sorted(map(tuple, with_chunks(df.repartition(k), ["k"], ["t"]).select("v", CHUNK).collect())) for k in (1, 5)]
+        sizes = [r["count"] for r in with_chunks(df, ["k"], ["t"]).groupBy(CHUNK).count().collect()]
+        assert len(sizes) > 1500 and max(sizes) <= 20
+        a, b = (running_total(df, ["k"], ["t"], "v", "cum", bounded=x) for x in (False, True))
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     finally:
         spark.conf.set("tramline.sequence.chunkRows", "4")
-    assert ids[0] == ids[1] and len({c for _, c in ids[0]}) > 20
 
 
 @pytest.mark.parametrize("rows_per_chunk", ["3", "1000000"])

@@ -1,8 +1,9 @@
 """As-of lookups without range joins.
 
-Rows and probes are merged into one ordered sequence, and what a probe needs
-is carried along it (``carry_forward``, ``running_total``), so neither side is
-broadcast, both may grow, and a hot key is cut into chunks like any sequence.
+``as_of_merge`` merges rows and probes into one ordered sequence and carries
+the last row along it, so neither side is broadcast, both may grow, and a hot
+key is cut into chunks like any sequence. ``latest_at_probes`` asks all keys
+for the same times.
 """
 
 from __future__ import annotations
@@ -12,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramline.operators.sequence import carry_forward, neighbors, running_total
+from tramline.operators.sequence import carry_forward, neighbors
+from tramline.operators.state import latest_by_key
 
 
 def as_of_merge(probes: DataFrame, rows: DataFrame, keys: Sequence[str], probe_time: str, row_time: str,
@@ -47,24 +49,25 @@ def latest_at_probes(rows: DataFrame, probes: DataFrame, key: str, time: str, pr
                      tiebreak: Sequence[str]) -> DataFrame:
     """Per key and probe time, the latest row with ``time <= probe`` (none: no row): key, probe, time, tiebreak.
 
-    A row answers the probes from its own time until the next row of its key.
-    Numbered in order, these are a run of whole numbers, so the answer is an
-    explode of that run and an equi-join with the numbered probes: work follows
-    the result's size, however many probes there are. A row's first number is
-    the count of probes before it, a running total over rows and probes merged.
+    The result has up to a row for every key and probe, so the list of distinct
+    probes is small beside it: it comes as a sorted array, in one scalar
+    subquery. (For probes of their own keys, however many, use ``as_of_merge``.)
+
+    1. a row's place is the first probe at or after it, by binary search; of a
+       key's rows at one place the latest stays, as a partial aggregate;
+    2. a row that stays answers the probes from its place until the next place
+       of its key: an explode of that run, no join.
     """
     tiebreak = list(tiebreak)
     distinct = probes.select(F.col(probe).alias("_t")).where("_t is not null").distinct()
-    kept = rows.select(key, time, *tiebreak).where(F.col(time).isNotNull())
-    merged = kept.select(F.col(time).alias("_t"), F.lit(0).alias("_side"), F.lit(0).cast("long").alias("_one"),
-                         F.struct(key, time, *tiebreak).alias("_row")).unionByName(
-        distinct.select("_t", F.lit(1).alias("_side"), F.lit(1).cast("long").alias("_one")), allowMissingColumns=True)
-    # rows before probes of the same time: such a row answers the probe
-    counted = running_total(merged, [], ["_t", "_side"], "_one", "_n")
-    number = counted.where("_side = 1").select((F.col("_n") - 1).alias("_number"), F.col("_t").alias(probe))
-    placed = counted.where("_side = 0").select("_row.*", F.coalesce("_n", F.lit(0)).alias("_from"))
-    until = neighbors(placed, [key], [time, *tiebreak], ["_from"], "next", prefix="_next")
-    total = distinct.agg(F.count(F.lit(1))).scalar()
-    until = until.withColumn("_end", F.coalesce("_next_from", total) - 1).where("_from <= _end")
-    each = until.withColumn("_number", F.explode(F.sequence("_from", "_end")))
-    return each.join(number, "_number").select(key, probe, time, *tiebreak)
+    listed = distinct.agg(F.array_sort(F.collect_list("_t"))).scalar()
+    kept = rows.select(key, time, *tiebreak).where(F.col(time).isNotNull()).withColumn("_probes", listed)
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(31))])
+    before = F.aggregate(steps, F.lit(0), lambda n, step: F.when(
+        (step <= F.size("_probes") - n) & (F.get("_probes", n + step - 1) < F.col(time)), n + step).otherwise(n))
+    placed = kept.withColumn("_place", before).where(F.col("_place") < F.size("_probes"))
+    winners = latest_by_key(placed.drop("_probes"), [key, "_place"], [time, *tiebreak], [time, *tiebreak])
+    # a key has a winner for each place at most
+    until = neighbors(winners, [key], ["_place"], ["_place"], "next", prefix="_next", bounded=True).withColumn("_probes", listed)
+    run = F.slice("_probes", F.col("_place") + 1, F.coalesce("_next_place", F.size("_probes")) - F.col("_place"))
+    return until.withColumn(probe, F.explode(run)).select(key, probe, time, *tiebreak)

@@ -5,13 +5,12 @@ a key holding a third of the log becomes a third of the job on one core. These
 operators therefore always work in *chunks*, by one algorithm for every input:
 
 1. the first ordering column is cut at quantiles, one chunk for every
-   ``tramline.sequence.chunkRows`` rows (``MOST_CHUNKS`` at most): rows whose
-   hash falls below a bound that follows from the row count are a sample of it,
-   and a row's chunk is the number of split points at or below its value. Row
-   count and split points are scalar subqueries of the same query, so building
-   a frame starts no job, and a chunk id is a pure function of the data: every
-   branch of the plan and every retry computes the same ids. Values far out or
-   crowded in a corner of the range move split points only;
+   ``tramline.sequence.chunkRows`` rows. Row count and quantiles come from one
+   sketch (``percentile_approx``) in a scalar subquery of the same query: no
+   job runs while a frame is built, and Spark evaluates the subquery once, so
+   all branches and retries of a query see the same ids. Values far out or
+   crowded in a corner of the range move the split points only. Where more
+   chunks than QUANTILES are needed, each interval is cut in equal steps;
 2. the window runs inside ``(key, chunk)`` groups -- one shuffle;
 3. rows at chunk edges are fixed from a per-(key, chunk) summary (one row per
    chunk that a key has), windowed per key and joined on the window's own
@@ -39,8 +38,8 @@ CHUNK = "_chunk"
 #: The key columns as one struct: never null itself, so null keys join and are cut like others.
 KEY = "_key"
 DEFAULT_CHUNK_ROWS = 1_000_000
-#: Chunks that an input is cut into at most (larger inputs have larger chunks), and sampled values for each.
-MOST_CHUNKS, PER_CHUNK = 4095, 32
+#: Intervals of equal weight that the sketch cuts an input into, and the sketch's accuracy (rank error: its inverse).
+QUANTILES, ACCURACY = 512, 8192
 
 
 def _number(df: DataFrame, name: str) -> Column:
@@ -64,35 +63,25 @@ def with_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
         return df
     x = _number(df, order[0])
     rows = int(df.sparkSession.conf.get("tramline.sequence.chunkRows", str(DEFAULT_CHUNK_ROWS)))
-    hashed = [c for c in _dedupe(keys, order) if not isinstance(df.schema[c].dataType, T.MapType)]
-    splits = _split_points(df, x, F.xxhash64(*hashed), rows)
-    # a binary search over the split points: how many are at or below x
-    steps = F.array(*[F.lit(1 << k) for k in reversed(range(MOST_CHUNKS.bit_length()))])
-    found = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
-        (at + step <= F.size("_splits")) & (F.get("_splits", at + step - 1) <= F.col("_x")), at + step).otherwise(at))
-    chunk = F.when(F.col("_x").isNull(), F.lit(-1)).when(F.isnan("_x"), F.lit(MOST_CHUNKS + 1)).otherwise(found)
-    placed = df.withColumns({"_x": x, "_splits": splits})
-    return placed.withColumn(CHUNK, chunk.cast("long")).drop("_x", "_splits")
-
-
-def _split_points(df: DataFrame, x: Column, key_hash: Column, rows: int) -> Column:
-    """Scalar subquery: the ascending values at which chunks of about ``rows`` rows start (an array of doubles).
-
-    The sample has about PER_CHUNK values for each chunk; its size is bounded
-    by PER_CHUNK * MOST_CHUNKS, values weighted by how often they were met.
-    """
-    count = df.agg(F.count(F.lit(1)))
-    chunks = F.least(F.ceil(count.scalar() / F.lit(rows)), F.lit(MOST_CHUNKS))
-    share = chunks * PER_CHUNK / count.scalar()
-    uniform = F.shiftrightunsigned(key_hash, 33) / float(1 << 31)
-    sample = df.select(x.alias("x"), uniform.alias("u")).where(F.col("x").isNotNull() & ~F.isnan("x") & (F.col("u") < share))
-    weighed = sample.groupBy("x").agg(F.count(F.lit(1)).alias("w"))
-    # bounded by the sample's size, so one task orders it
-    before = F.coalesce(F.sum("w").over(Window.orderBy("x").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = weighed.select("x", before.alias("before"), F.sum("w").over(Window.partitionBy()).alias("total"))
-    number = F.floor(F.col("before") * chunks / F.col("total"))
-    starts = placed.groupBy(number.alias("chunk")).agg(F.min("x").alias("x")).where("chunk > 0")
-    return starts.agg(F.array_sort(F.collect_list("x"))).scalar()
+    known = df.select(x.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    points = [i / QUANTILES for i in range(1, QUANTILES)]
+    sketch = known.agg(F.struct(
+        F.ceil(F.count("x") / F.lit(rows)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"),
+        F.percentile_approx("x", points, ACCURACY).alias("q"))).scalar()
+    placed = df.withColumns({"_x": x, "_sketch": sketch})
+    at, q, n = F.col("_x"), F.col("_sketch.q"), F.col("_sketch.n")
+    # a binary search: how many of the split points are at or below x
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range((QUANTILES - 1).bit_length()))])
+    found = F.aggregate(steps, F.lit(0), lambda found, step: F.when(
+        F.get(q, found + step - 1) <= at, found + step).otherwise(found))
+    placed = placed.withColumn("_found", found)
+    few = F.floor(F.col("_found") * n / QUANTILES)
+    parts = F.ceil(n / QUANTILES)
+    lo, hi = F.coalesce(F.get(q, F.col("_found") - 1), "_sketch.lo"), F.coalesce(F.get(q, "_found"), "_sketch.hi")
+    step = F.when(hi > lo, F.least(F.floor((at - lo) / (hi - lo) * parts), parts - 1)).otherwise(0)
+    chunk = F.when(at.isNull(), F.lit(-1)).when(F.isnan(at), F.greatest(n, QUANTILES * parts)).otherwise(
+        F.when(n <= QUANTILES, few).otherwise(F.col("_found") * parts + step))
+    return placed.withColumn(CHUNK, chunk.cast("long")).drop("_x", "_sketch", "_found")
 
 
 def _dedupe(*groups: Sequence[str]) -> list[str]:
