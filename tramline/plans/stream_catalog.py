@@ -85,6 +85,56 @@ def _upserted(store: LandingStore) -> DataFrame:
                          "first_event_id", "n_writes")
 
 
+# Topics of the tick replay, and days to a delivery.
+TICK_TOPICS = [f"events_{k}" for k in range(5)]
+DELIVERY_DAYS = 16
+FIRST_DAY = "2024-01-01"
+
+
+def _tick_table(topic: str) -> EventTable:
+    fields = [("event_id", T.LongType()), ("clock_tick", T.IntegerType()), ("event_type", T.StringType()), ("created_at", T.TimestampType())]
+    return EventTable(topic, topic, T.StructType([T.StructField(n, t) for n, t in fields]), ("event_id",))
+
+
+@register("topic_ticks", ("O-S4", "O-S6", "O-S8", "O-S12", "O-T1"), f"""
+with e as (select event_id, user_id % 5 as k, date_diff('day', date '{FIRST_DAY}', cast(ts as date)) as d from events)
+select 'events_' || k as topic, cast(d as integer) as clock_tick, count(*) as n, max(event_id) as last_event_id,
+  (select max((d + event_id % 2) // {DELIVERY_DAYS}) from e) + 1 - (d + 1) // {DELIVERY_DAYS} as n_reads, cast(0 as bigint) as n_half
+from e where d < (select max(d) from e) group by k, d
+""")
+def topic_ticks(spark: SparkSession, d: str) -> DataFrame:
+    """Six topics through the topic log: a day's rows come in two appends, its clock message before both
+    are there; every run resumes from the checkpoint, and no commit shows half a day."""
+    from tramline.sources.topics import append_messages, subscribe
+    first = F.lit(FIRST_DAY).cast("date")
+    events = load_table(spark, d, "events").select("event_id", "user_id", "event_type", F.date_diff(F.col("ts").cast("date"), first).alias("clock_tick"))
+    rows = events.select(F.concat(F.lit("events_"), F.col("user_id") % 5).alias("topic"), F.col("user_id").cast("string").alias("key"),
+                         F.to_json(F.struct("event_id", "clock_tick", "event_type")).alias("value"), "clock_tick", "event_id",
+                         F.floor((F.col("clock_tick") + F.col("event_id") % 2) / DELIVERY_DAYS).alias("delivery"))
+    ticks = events.select("clock_tick").distinct().select(
+        F.lit("ticks").alias("topic"), F.lit(None).cast("string").alias("key"),
+        F.to_json(F.struct(F.col("clock_tick").cast("long").alias("event_id"), "clock_tick", F.lit("tick").alias("event_type"))).alias("value"),
+        "clock_tick", F.lit(-1).cast("long").alias("event_id"), F.floor(F.col("clock_tick") / DELIVERY_DAYS).alias("delivery"))
+    stamped = rows.union(ticks).withColumn("timestamp", F.timestamp_seconds(F.col("clock_tick") * 86400))
+    log, ckpt = scratch_path(spark, "log"), scratch_path(spark, "ckpt")
+    store = LandingStore(spark, scratch_path(spark, "landing"))
+    tables = {t: _tick_table(t) for t in [*TICK_TOPICS, "ticks"]}
+    commits: list[int] = []
+    last = rows.agg(F.max("delivery")).head()[0]
+    for k in range(0 if last is None else int(last) + 1):
+        append_messages(stamped.where(F.col("delivery") == k), log, "clock_tick")
+        _run(start_ingest(subscribe(spark, log, list(tables)), store, ckpt, topics=tables, signals=["ticks"], on_committed=commits.append))
+    whole = rows.groupBy("topic", "clock_tick").agg(F.count(F.lit(1)).alias("all"))
+    reads = [store.at(b).state(tables[t]).groupBy("clock_tick").agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last_event_id"))
+             .select(F.lit(t).alias("topic"), "clock_tick", "n", "last_event_id") for b in commits for t in TICK_TOPICS]
+    read = reads[0] if reads else whole.select("topic", "clock_tick", F.col("all").alias("n"), F.col("all").alias("last_event_id"))
+    for r in reads[1:]:
+        read = read.union(r)
+    half = F.when(F.col("n") < F.col("all"), 1).otherwise(0)
+    return read.join(whole, ["topic", "clock_tick"]).groupBy("topic", "clock_tick").agg(
+        F.max("n").alias("n"), F.max("last_event_id").alias("last_event_id"), F.count(F.lit(1)).alias("n_reads"), F.sum(half).alias("n_half"))
+
+
 @register("purge_replay", ("O-S9", "O-S3", "O-S7"), f"""
 select e.user_id, e.event_id, e.event_type, cast(e.value as decimal(15,2)) as value, f.first_event_id, f.n_writes
 from events e join (select user_id, max(event_id) as last_id, min(event_id) as first_event_id, count(*) as n_writes
@@ -130,15 +180,49 @@ def stream_latest(spark: SparkSession, d: str) -> DataFrame:
 DAY_MS = 86_400_000
 
 
-def _waits_stream(spark: SparkSession, src: DataFrame, out: str, ckpt: str, tolerance_days: int) -> None:
+@register("stream_recent", ("O-T3", "O-F2", "O-S11"), """
+select user_id, event_id, event_type, epoch_us(ts) as ts_us
+from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn
+      from events where ts >= (select max(ts) from events) - interval 5 day) t
+where rn = 1
+""")
+def stream_recent(spark: SparkSession, d: str) -> DataFrame:
+    """The latest state of the users of the last five days, served from keyed state that expires."""
+    from tramline.streaming.stateful import recent_per_key
+    events = load_table(spark, d, "events").select("user_id", "event_id", "event_type", "ts")
+    folder, out = scratch_path(spark, "arrivals"), scratch_path(spark, "recent")
+    first = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    week = F.floor(F.timestamp_diff("DAY", first, F.col("ts")) / 8)
+    events.where(week == 0).write.parquet(f"{folder}/delivery=0")
+    src = spark.readStream.schema(events.schema).parquet(folder)
+    state = recent_per_key(src, "user_id", us("ts"), "event_id", F.col("event_type"), "ts", 5 * DAY_MS, delay_ms=0)
+    ckpt, store = scratch_path(spark, "ckpt"), f"{out}/batch="
+
+    def changed(df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{store}{batch_id}")
+
+    for k in range(4):  # four deliveries, each read by a run that resumes from the checkpoint
+        if k:
+            events.where(week == k).write.parquet(f"{folder}/delivery={k}")
+        _run(state.writeStream.outputMode("update").foreachBatch(changed).option("checkpointLocation", ckpt)
+             .trigger(availableNow=True).start())
+    # served: of each key the newest output, if it is not gone and within the look-back of the newest row
+    from tramline.operators.state import latest_by_key, max_of
+    rows = spark.read.schema("key long, t long, tb long, ms long, payload string, gone boolean, batch long").parquet(out)
+    last = latest_by_key(rows, ["key"], ["batch"], ["t", "tb", "payload", "gone"])
+    return last.where(~F.col("gone") & (F.col("t") >= max_of(last, "t") - 5 * DAY_MS * 1000)).select(
+        F.col("key").alias("user_id"), F.col("tb").alias("event_id"), F.col("payload").alias("event_type"), F.col("t").alias("ts_us"))
+
+
+def _waits_stream(spark: SparkSession, src: DataFrame, out: str, ckpt: str, tolerance_days: int, once: bool = False) -> None:
     waits = transition_waits(src, "user_id", us("ts"), "event_id", F.col("event_type") == "view",
                              F.col("event_type") == "purchase", event_time="ts", tolerance_ms=tolerance_days * DAY_MS,
-                             horizon_ms=60 * DAY_MS)
+                             horizon_ms=60 * DAY_MS, once=once)
     _run(waits.writeStream.outputMode("append").foreachBatch(_to_parquet(out))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
 
 
-@register("stream_waits", ("O-T5", "O-T6", "O-W2", "O-M6"), """
+@register("stream_waits", ("O-T5", "O-T6", "O-T7", "O-W2", "O-M6"), """
 select user_id, event_id, epoch_us(ts) - epoch_us(prev_ts) as wait_us
 from (select *, lag(ts) over w as prev_ts, lag(event_type) over w as prev_type
       from events window w as (partition by user_id order by ts, event_id)) t
@@ -147,18 +231,19 @@ where event_type = 'purchase' and prev_type = 'view'
 def stream_waits(spark: SparkSession, d: str) -> DataFrame:
     events = load_table(spark, d, "events").select("user_id", "event_id", "event_type", "ts")
     folder, out = scratch_path(spark, "arrivals"), scratch_path(spark, "waits")
-    # deliveries of ten days; every second event comes one delivery late, within the tolerance
+    # deliveries of ten days; every second event comes one delivery late, within the tolerance,
+    # and every message comes again with the delivery after its own
     first = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
     delivery = F.floor(F.timestamp_diff("DAY", first, F.col("ts")) / 10) + F.col("event_id") % 2
-    for k in range(4):
-        events.where(delivery == k).write.parquet(f"{folder}/delivery={k}")
+    for k in range(5):
+        events.where(delivery.isin(k, k - 1)).write.parquet(f"{folder}/delivery={k}")
     # a row of no user, later than all: what was held back becomes final
     last = events.agg(F.max("ts").alias("m")).select(
         F.lit(-1).cast("long").alias("user_id"), F.lit(-1).cast("long").alias("event_id"), F.lit("end").alias("event_type"),
         (F.col("m") + F.expr("interval 30 days")).alias("ts"))
     last.write.parquet(f"{folder}/delivery=9")
     src = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 8).parquet(folder)
-    _waits_stream(spark, src, out, scratch_path(spark, "ckpt"), tolerance_days=21)
+    _waits_stream(spark, src, out, scratch_path(spark, "ckpt"), tolerance_days=21, once=True)
     got = spark.read.schema("key long, t long, tb long, wait long, kind string").parquet(out)
     return got.where(F.col("kind") == "wait").select(F.col("key").alias("user_id"), F.col("tb").alias("event_id"),
                                                      F.col("wait").alias("wait_us"))

@@ -13,7 +13,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -135,3 +135,14 @@ def ship_package(spark: SparkSession) -> None:
     sc.addPyFile(archive)
     _SHIPPED.add(key)
 
+
+
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` under the shared scratch folder and read it back.
+
+    This cuts the lineage: what is built on it neither computes it again for
+    each of its uses nor depends on an executor that may be lost. It runs a job.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

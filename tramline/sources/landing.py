@@ -8,6 +8,9 @@ Layout under a base folder (any Hadoop file system path)::
 * Each micro-batch writes its rows of every table into ``batch=<id>`` with
   overwrite mode, so replaying a batch after a failure rewrites the same
   folder: the write is idempotent.
+* A marker may carry a tick mark: the newest tick that is complete. Rows of
+  later ticks are stored with their batch but not read before a later marker
+  closes their tick, so no reader sees half a tick.
 * The commit marker is written last. Readers only see batches with a marker,
   so all six tables are read at one consistent batch (no new clock with old
   trains).
@@ -30,6 +33,8 @@ Layout under a base folder (any Hadoop file system path)::
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -101,10 +106,31 @@ class LandingStore:
         purges = self.spark.read.schema("purged long, batch long").json(f"{self.base}/_purges")
         return purges.select(F.coalesce(F.max("batch"), F.lit(-1)).cast("long")).scalar()
 
-    def commit(self, batch_id: int) -> None:
-        marker = self.spark.range(1).select(F.lit(batch_id).cast("long").alias("committed"))
+    def commit(self, batch_id: int, seen: dict[str, int] | None = None) -> None:
+        """Make a batch visible. ``seen``: the newest tick that each topic which signals ticks has
+        reached; ticks before the least of these are complete, later ones stay hidden."""
+        mark = min(seen.values()) - 1 if seen else None
+        marker = self.spark.range(1).select(
+            F.lit(batch_id).cast("long").alias("committed"), F.lit(mark).cast("long").alias("mark"),
+            F.lit(json.dumps(seen) if seen else None).cast("string").alias("seen"))
         marker.write.mode("overwrite").json(f"{self.base}/_commits/batch={batch_id}")
 
+    def seen(self, batch_id: int) -> dict[str, int]:
+        """What the last commit of this run before ``batch_id`` had seen (one small row)."""
+        if not path_exists(self.spark, f"{self.base}/_commits"):
+            return {}
+        commits = self.spark.read.schema("seen string, batch long").json(f"{self.base}/_commits")
+        last = commits.where((F.col("batch") < batch_id) & (F.col("batch") >= self.epoch << 32) & F.col("seen").isNotNull()).orderBy(
+            F.desc("batch")).limit(1).collect()
+        return json.loads(last[0].seen) if last else {}
+
+    def last_mark(self, bound, purge):
+        """Scalar subquery: the newest complete tick as of batch ``bound`` (null: no marker has one)."""
+        if not path_exists(self.spark, f"{self.base}/_commits"):
+            return F.lit(None).cast("long")
+        commits = self.spark.read.schema("mark long, batch long").json(f"{self.base}/_commits")
+        return commits.where((F.col("batch") <= bound) & (F.col("batch") > purge)).select(F.max("mark")).scalar()
+
     # ---- reads ----------------------------------------------------------------
 
     def last_committed(self):
@@ -126,9 +152,10 @@ class LandingStore:
         usable = marks.where((F.col("upto") <= bound) & (F.col("upto") > purge))
         return usable.select(F.coalesce(F.max("upto"), F.lit(-1)).cast("long")).scalar()
 
-    def writes(self, table: EventTable) -> DataFrame:
+    def writes(self, table: EventTable, open_ticks: bool = False) -> DataFrame:
         """All committed writes of a table, with ``_batch`` and ``_offset``
-        (batches covered by a compaction come from its snapshot)."""
+        (batches covered by a compaction come from its snapshot); those of
+        ticks that are not complete only with ``open_ticks``."""
         path = f"{self.base}/{table.name}"
         schema = T.StructType(list(table.schema.fields)).add("_time", "long").add("_offset", "long") \
             .add("batch", "long")
@@ -141,6 +168,9 @@ class LandingStore:
         bound = F.lit(self.upto).cast("long") if self.upto is not None else self.last_committed()
         purge = self.last_purge()
         compacted = self._last_compaction(table, bound, purge)
+        if self._bucketed(table) and not open_ticks:
+            mark = self.last_mark(bound, purge)
+            df = df.where(mark.isNull() | (F.col("clock_tick") <= mark))
         recent = df.where((F.col("_batch") <= bound) & (F.col("_batch") > purge) & (F.col("_batch") > compacted))
         snap_path = f"{self.base}/_compacted/{table.name}"
         if not path_exists(self.spark, snap_path):
@@ -150,6 +180,8 @@ class LandingStore:
         if self._bucketed(table):
             snap_schema = snap_schema.add("tick_bucket", "integer")
         snap = self.spark.read.schema(snap_schema).option("basePath", snap_path).parquet(snap_path)
+        if self._bucketed(table) and not open_ticks:
+            snap = snap.where(mark.isNull() | (F.col("clock_tick") <= mark))
         snap = snap.where(F.col("upto") == compacted).withColumnRenamed("_src_batch", "_batch").drop("upto")
         return recent.unionByName(snap)
 
@@ -160,7 +192,7 @@ class LandingStore:
         write keeps its own place in ``SEQUENCE``, so later batches still win.
         """
         as_of = self.at(upto)
-        w = as_of.writes(table)
+        w = as_of.writes(table, open_ticks=True)
         merged = merge_latest(w, table.keys, SEQUENCE, [*table.payload, *SEQUENCE],
                               first_cols=["created_at"])
         out = merged.withColumnRenamed("_batch", "_src_batch")

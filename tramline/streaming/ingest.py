@@ -7,12 +7,12 @@ message time, partition and offset) as the write sequence, appended to the
 landing store, and the batch is committed last. A batch that is run again
 writes the same folders; another run over the same store has an epoch of its
 own. Published messages carry the natural key, so a broker keeps the writes of
-one entity in order.
+one entity in order. With ``signals`` a tick is held back until it is complete.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,16 +67,31 @@ def parse_topic(batch: DataFrame, table: EventTable) -> DataFrame:
 
 
 def route_batch(store: LandingStore, on_committed: Callable[[int], None] | None = None,
-                topics: dict[str, EventTable] | None = None, compact_every: int | None = COMPACT_EVERY):
+                topics: dict[str, EventTable] | None = None, compact_every: int | None = COMPACT_EVERY,
+                signals: Sequence[str] = ()):
     """The ``foreachBatch`` function: route, append, commit, publish, and every
     ``compact_every`` batches compact each table (bounds read cost; None: never).
 
     A topic that is unknown or null raises. ``on_committed`` gets the stored
     batch id.
+
+    ``signals`` are topics that have a message for every tick (the clock): a
+    tick becomes readable when each of them has gone past it, and is hidden
+    until then, however its rows are spread over micro-batches. The low-water
+    mark of these topics is kept in the commit markers, so a restarted run goes on from it.
     """
     topics = topics or TOPIC_TO_TABLE
     known = list(topics)
 
+    def reached(batch: DataFrame, stored: int) -> dict[str, int] | None:
+        if not signals:
+            return None
+        now = {t: store.seen(stored).get(t, -1) for t in signals}
+        for topic in signals:  # one number a topic
+            newest = parse_topic(batch, topics[topic]).agg(F.max("clock_tick")).head()[0]
+            now[topic] = max(now[topic], -1 if newest is None else int(newest))
+        return now
+
     def run(batch: DataFrame, batch_id: int) -> None:
         stored = store.sequence(batch_id)
         batch.persist()
@@ -86,7 +101,7 @@ def route_batch(store: LandingStore, on_committed: Callable[[int], None] | None
                 raise ValueError(f"message for unknown topic {unknown[0].topic!r}")
             for table in topics.values():
                 store.append(table, parse_topic(batch, table), stored)
-            store.commit(stored)
+            store.commit(stored, reached(batch, stored))
         finally:
             batch.unpersist()
         if on_committed is not None:
@@ -100,11 +115,13 @@ def route_batch(store: LandingStore, on_committed: Callable[[int], None] | None
 
 def start_ingest(source: DataFrame, store: LandingStore, checkpoint: str, available_now: bool = True,
                  processing_time: str | None = None, on_committed: Callable[[int], None] | None = None,
-                 topics: dict[str, EventTable] | None = None, compact_every: int | None = COMPACT_EVERY):
+                 topics: dict[str, EventTable] | None = None, compact_every: int | None = COMPACT_EVERY,
+                 signals: Sequence[str] = ()):
     """Start the ingest query; the checkpoint makes restarts resume, and a new
     checkpoint with an ``earliest`` source replays everything (backfill) in a
     later epoch, so its writes win whatever its batch boundaries are."""
-    w = source.writeStream.foreachBatch(route_batch(store.run(checkpoint), on_committed, topics, compact_every)) \
+    w = source.writeStream.foreachBatch(route_batch(
+        store.run(checkpoint), on_committed, topics, compact_every, signals)) \
         .option("checkpointLocation", checkpoint)
     if available_now:
         w = w.trigger(availableNow=True)

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,59 +28,68 @@ STATE_SCHEMA = ("last_t long, last_tb long, last_start boolean, seen_ms long, "
                 "t array<long>, tb array<long>, start array<boolean>, end array<boolean>, ms array<long>")
 OUT_SCHEMA = "key long, t long, tb long, wait long, kind string"
 _HELD = ["t", "tb", "start", "end", "ms"]
+_TYPES = [np.int64, np.int64, np.bool_, np.bool_, np.int64]
 
 
-def _walk(rows: pd.DataFrame, last: tuple) -> tuple[pd.DataFrame, tuple]:
+def _walk(rows: list[np.ndarray], last: tuple) -> tuple[pd.DataFrame | None, tuple]:
     """Waits and late rows of ``rows`` (in order) after the row ``last``; and the new last row."""
-    t, tb, start = last
-    late = pd.Series(False, index=rows.index)
-    if t is not None:
-        late = (rows["t"] < t) | ((rows["t"] == t) & (rows["tb"] <= tb))
-    good = rows[~late]
-    before_t = good["t"].shift(1, fill_value=t if t is not None else 0)
-    before_start = good["start"].shift(1, fill_value=bool(start) if t is not None else False)
-    ended = good["end"] & before_start
-    waits = pd.DataFrame({"t": good["t"], "tb": good["tb"], "wait": (good["t"] - before_t).astype("Int64"), "kind": "wait"})[ended]
-    lost = pd.DataFrame({"t": rows["t"], "tb": rows["tb"], "wait": pd.array([pd.NA] * len(rows), dtype="Int64"), "kind": "late"})[late]
-    if len(good):
-        final = good.iloc[-1]
-        last = (int(final["t"]), int(final["tb"]), bool(final["start"]))
-    return pd.concat([lost, waits]), last
+    t, tb, start, end, _ = rows
+    frames = []
+    if last[0] is not None:
+        late = (t < last[0]) | ((t == last[0]) & (tb < last[1]))
+        if late.any():
+            frames.append(pd.DataFrame({"t": t[late], "tb": tb[late], "wait": pd.array([pd.NA] * int(late.sum()), dtype="Int64"), "kind": "late"}))
+        good = ~late & ~((t == last[0]) & (tb == last[1]))  # the last row itself, delivered again, says nothing new
+        t, tb, start, end = t[good], tb[good], start[good], end[good]
+    if len(t):
+        before_t = np.concatenate([[last[0] if last[0] is not None else 0], t[:-1]])
+        ended = end & np.concatenate([[bool(last[2])], start[:-1]])
+        if ended.any():
+            frames.append(pd.DataFrame({"t": t[ended], "tb": tb[ended], "wait": pd.array((t - before_t)[ended], dtype="Int64"), "kind": "wait"}))
+        last = (int(t[-1]), int(tb[-1]), bool(start[-1]))
+    return (pd.concat(frames) if len(frames) > 1 else frames[0] if frames else None), last
 
 
 def _waits_fn(ahead_ms: int, retention_ms: int | None, key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
     # Spark's watermark trails by the horizon; rows are final where it trails by the tolerance
     mark = state.getCurrentWatermarkMs()
     final = mark + ahead_ms if mark > 0 else 0
-    last, seen, held = (None, None, None), 0, pd.DataFrame({c: [] for c in _HELD})
+    last, seen = (None, None, None), 0
+    parts: list[list[np.ndarray]] = []
     if state.exists:
         *last, seen, t, tb, start, end, ms = state.get
         last = tuple(last)
-        held = pd.DataFrame({"t": list(t), "tb": list(tb), "start": list(start), "end": list(end), "ms": list(ms)})
+        if len(t):
+            parts.append([np.array(c, k) for c, k in zip((t, tb, start, end, ms), _TYPES, strict=True)])
     if not state.hasTimedOut:
-        fresh = pd.concat([b[[f"_{c}" for c in _HELD]] for b in batches]).rename(columns=lambda c: c[1:])
-        held = fresh if held.empty else pd.concat([held, fresh])
-        seen = max(seen, int(fresh["ms"].max()))
-    held = held.astype({"t": "int64", "tb": "int64", "start": "bool", "end": "bool", "ms": "int64"})
-    held = held.sort_values(["t", "tb"], kind="mergesort", ignore_index=True)
-    passed = held["ms"] <= final
-    out, last = _walk(held[passed], last)
-    held = held[~passed]
-    idle = retention_ms is not None and held.empty and seen + retention_ms <= final
-    if idle:
+        parts += [[b[f"_{c}"].to_numpy(k) for c, k in zip(_HELD, _TYPES, strict=True)] for b in batches]
+    held = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.zeros(0, k) for k in _TYPES]
+    if len(held[0]):
+        seen = max(seen, int(held[4].max()))
+        order = np.lexsort((held[1], held[0]))
+        held = [c[order] for c in held]
+        # a message delivered twice is one row
+        new = np.concatenate([[True], (held[0][1:] != held[0][:-1]) | (held[1][1:] != held[1][:-1])])
+        due = held[4] <= final
+        out, last = _walk([c[new & due] for c in held], last)
+        held = [c[new & ~due] for c in held]
+    else:
+        out = None
+    if retention_ms is not None and not len(held[0]) and seen + retention_ms <= final:
         state.remove()
     else:
-        state.update((*last, seen, *(held[c].tolist() for c in _HELD)))
-        due = int(held["ms"].min()) if len(held) else seen + (retention_ms or 0)
-        if len(held) or retention_ms is not None:
-            state.setTimeoutTimestamp(max(due - ahead_ms, mark) + 1)
-    if len(out):
+        state.update((*last, seen, *(c.tolist() for c in held)))
+        due_at = int(held[4].min()) if len(held[0]) else seen + (retention_ms or 0)
+        if len(held[0]) or retention_ms is not None:
+            state.setTimeoutTimestamp(max(due_at - ahead_ms, mark) + 1)
+    if out is not None:
         out.insert(0, "key", key[0])
         yield out
 
 
 def transition_waits(stream: DataFrame, key: str, t: Column | str, tiebreak: str, is_start, is_end,
-                     event_time: str, tolerance_ms: int, horizon_ms: int, retention_ms: int | None = None) -> DataFrame:
+                     event_time: str, tolerance_ms: int, horizon_ms: int, retention_ms: int | None = None,
+                     once: bool = False) -> DataFrame:
     """Per key, in (t, tiebreak) order: a row with ``is_end`` right after a row
     with ``is_start`` emits ``t - t_start``.
 
@@ -108,10 +118,57 @@ def transition_waits(stream: DataFrame, key: str, t: Column | str, tiebreak: str
         F.coalesce(is_start.cast("boolean"), F.lit(False)).alias("_start"),
         F.coalesce(is_end.cast("boolean"), F.lit(False)).alias("_end"),
         ms.alias("_ms"), F.timestamp_millis(ms).alias("_event_ts"))
-    return prepared.withWatermark("_event_ts", f"{horizon_ms} milliseconds").groupBy(key).applyInPandasWithState(
+    marked = prepared.withWatermark("_event_ts", f"{horizon_ms} milliseconds")
+    if once:
+        marked = marked.dropDuplicatesWithinWatermark([key, "_t", "_tb"])
+    return marked.groupBy(key).applyInPandasWithState(
         partial(_waits_fn, horizon_ms - tolerance_ms, retention_ms), OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
 
 
+RECENT_STATE = "t long, tb long, ms long, payload string"
+
+
+def _recent_fn(lookback_ms: int, key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+    mark = state.getCurrentWatermarkMs()
+    if state.hasTimedOut:
+        t, tb, ms, _ = state.get
+        state.remove()
+        yield pd.DataFrame({"key": [key[0]], "t": [t], "tb": [tb], "ms": [ms], "payload": [None], "gone": [True]})
+        return
+    best = tuple(state.get) if state.exists else None
+    for b in batches:
+        at = np.lexsort((b["_tb"].to_numpy(), b["_t"].to_numpy()))[-1]
+        row = (int(b["_t"].iloc[at]), int(b["_tb"].iloc[at]), int(b["_ms"].iloc[at]), b["_payload"].iloc[at])
+        if best is None or row[:2] > best[:2]:
+            best = row
+    state.update(best)
+    state.setTimeoutTimestamp(max(best[2] + lookback_ms, mark) + 1)
+    yield pd.DataFrame({"key": [key[0]], "t": [best[0]], "tb": [best[1]], "ms": [best[2]], "payload": [best[3]], "gone": [False]})
+
+
+def recent_per_key(stream: DataFrame, key: str, t: Column, tiebreak: str, payload: Column, event_time: str,
+                   lookback_ms: int, delay_ms: int) -> DataFrame:
+    """O-T3 with look-back: the latest row of every key that has one within the look-back, in update mode.
+
+    Output: ``key, t, tb, ms, payload, gone``; a key comes out when it has new
+    rows, and once more with ``gone`` when its latest row is older than
+    ``lookback_ms`` behind the stream's newest event time less ``delay_ms``: then
+    its state is removed, so the state store holds keys of the look-back only.
+    ``payload`` is a string column (``to_json`` of what is served).
+    """
+    from functools import partial
+
+    from tramline.session import ship_package
+    ship_package(stream.sparkSession)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    ms = F.timestamp_diff("MILLISECOND", epoch, F.col(event_time).cast("timestamp_ntz"))
+    prepared = stream.select(F.col(key).cast("long").alias(key), t.cast("long").alias("_t"), F.col(tiebreak).cast("long").alias("_tb"),
+                             ms.alias("_ms"), payload.alias("_payload"), F.timestamp_millis(ms).alias("_event_ts"))
+    return prepared.withWatermark("_event_ts", f"{delay_ms} milliseconds").groupBy(key).applyInPandasWithState(
+        partial(_recent_fn, lookback_ms), "key long, t long, tb long, ms long, payload string, gone boolean", RECENT_STATE,
+        "update", GroupStateTimeout.EventTimeTimeout)
+
+
 def latest_per_key(stream: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
     fields = list(order) + [c for c in columns if c not in order]
     agg = stream.groupBy(*keys).agg(F.max(F.struct(*fields)).alias("_m"))
