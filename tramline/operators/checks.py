@@ -56,6 +56,34 @@ def unique(df: DataFrame, table: str, columns: Sequence[str], entity_expr: Colum
     return frame(dup, check_id, table, ",".join(cols), ent, severity, [F.col("n")])
 
 
+def declared_tests(df: DataFrame, tests: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """(table_name, test, column_name, failures) of all ``tests`` on one frame, in one pass over it.
+
+    A test is (table name, ``not_null`` | ``unique`` | ``unique_combination``,
+    column or comma-separated columns). Failures are null rows of a
+    ``not_null``, and values (or combinations, nulls being values there) that
+    occur more than once. Each row yields one key per uniqueness test and one
+    for every null that a ``not_null`` forbids; keys are counted with a partial
+    aggregate, so a clean ``not_null`` moves nothing and a hot key one row a
+    task. Every test has a row, whatever the frame holds.
+    """
+    entries = []
+    for i, (_, kind, columns) in enumerate(tests):
+        cols = [F.col(c) for c in columns.split(",")]
+        key = F.to_json(F.struct(*[c.alias(f"c{k}") for k, c in enumerate(cols)]))
+        entry = F.struct(F.lit(i).alias("i"), (F.lit("") if kind == "not_null" else key).alias("key"))
+        when = {"not_null": cols[0].isNull(), "unique": cols[0].isNotNull(), "unique_combination": F.lit(True)}[kind]
+        entries.append(F.when(when, entry))
+    each = df.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e")).select("e.i", "e.key")
+    counted = each.groupBy("i", "key").agg(F.count(F.lit(1)).alias("n"))
+    failed = counted.groupBy("i").agg(F.sum(F.when(F.col("key") == "", F.col("n")).when(F.col("n") > 1, 1).otherwise(0)).alias("failures"))
+    declared = df.sparkSession.range(1).select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.lit(t).alias("table_name"), F.lit(k).alias("test"), F.lit(c).alias("column_name"))
+        for i, (t, k, c) in enumerate(tests)])).alias("t")).select("t.*")
+    return declared.join(failed, "i", "left").select(
+        "table_name", "test", "column_name", F.coalesce("failures", F.lit(0)).cast("long").alias("failures"))
+
+
 def missing(left: DataFrame, right: DataFrame, on: Sequence[str] | Column, check_id: str, table: str,
             entity: Sequence[str], column: str = "", severity: str = "error") -> DataFrame:
     """Rows of ``left`` without a match in ``right`` (anti join)."""
