@@ -1123,4 +1123,4 @@ def axis_bounds(spark, d):
 
 
 # these entries register themselves into CATALOG
-from tramline.plans import crowd, declared, given, stream_catalog  # noqa: E402,F401
+from tramline.plans import crowd, declared, given, live_catalog, stream_catalog  # noqa: E402,F401
