@@ -54,6 +54,7 @@ def odd_dir():
 def empty_dir(odd_dir):
     """The same tables without rows."""
     folder = tempfile.mkdtemp(prefix="llm-empty-")
+    pq.write_table(pq.read_table(f"{SF}/embeddings.parquet").slice(0, 0), f"{folder}/embeddings.parquet")
     for name in ("documents", "benchmark"):
         pq.write_table(pq.read_table(f"{odd_dir}/{name}.parquet").slice(0, 0), f"{folder}/{name}.parquet")
     return folder

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tramline.llm.common import broadcast_if_small, lower_ascii, settle
-from tramline.llm.spans import SPAN, joined, let, with_spans
+from tramline.llm.spans import SPAN, blocks, joined, let, outside, piece, with_spans
 
 KINDS = ["email", "ip", "card", "phone", "context"]
 # Possessive repeats and the look-behinds only spare vain attempts: a match
@@ -76,13 +76,18 @@ def scan(docs: DataFrame) -> DataFrame:
     df = with_spans(df, "_phone", "_text", "phone", PHONE, _phone)
     df = with_spans(df, "_other", "_text", "context", IDENTIFIER)
     df = df.withColumn("_base", F.concat("_email", "_ip", "_card", "_phone"))
-    free = F.filter("_other", lambda t: ~F.exists("_base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+    free = outside(F.col("_other"), F.col("_base"))
 
-    def before(s: Column) -> Column:
-        return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["match"].alias("match"),
-                        F.substring(F.col("_text"), F.greatest(s["start"] - 47, F.lit(1)), F.least(s["start"], F.lit(48))).alias("before"))
+    def in_context(cut: Column) -> Column:
+        def before(s: Column) -> Column:
+            return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["match"].alias("match"),
+                            piece(cut, F.greatest(s["start"] - 48, F.lit(0)), s["start"]).alias("before"))
 
-    return df.select("doc_id", "text_key", F.transform("_base", before).alias("base"), F.transform(free, before).alias("others"))
+        return F.struct(F.transform("_base", before).alias("base"), F.transform("_free", before).alias("others"))
+
+    df = df.withColumn("_free", free)
+    cut = F.when(F.size("_base") + F.size("_free") > 0, blocks(F.col("_text")))
+    return df.select("doc_id", "text_key", let(cut, in_context).alias("s")).select("doc_id", "text_key", "s.base", "s.others")
 
 
 def mentions(scanned: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tramline.llm.common import broadcast_if_small, settle
-from tramline.llm.spans import SPAN, joined, let, redacted, with_spans
+from tramline.llm.spans import SPAN, joined, let, outside, redacted, with_spans
 
 KINDS = ["assign", "access", "hex", "random"]
 
@@ -85,7 +85,7 @@ def scan(docs: DataFrame) -> DataFrame:
     df = with_spans(df, "_token", "_text", "random", TOKEN)
     base = F.concat("_assign", "_access", "_hex")
     df = df.withColumn("_base", base)
-    free = F.filter("_token", lambda t: ~F.exists("_base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
+    free = outside(F.col("_token"), F.col("_base"))
     return df.select("doc_id", "text_key", F.col("_base").alias("base"), free.alias("tokens"))
 
 
