@@ -1,11 +1,12 @@
 """Token ids of a corpus in binary files, coded by a static rANS.
 
-Writing takes two passes. The first encodes every text and counts ids (at most
-the vocabulary's size of numbers come to the driver) for the shared frequency
-table. The second sends texts into ascending id ranges, encodes them again
-(cheaper than keeping all ids on disk) and writes blocks: a row holds the
-block's documents with their token counts and the coded ids. Files are written
-by Spark's committer, so a lost task leaves nothing half written.
+Writing takes two passes. The first encodes every text and keeps the ids, two
+bytes each, in a table under the shared scratch folder; counts over it (at most
+the vocabulary's size of numbers come to the driver) give the shared frequency
+table. The second sends the ids, not the texts, into ascending doc_id ranges
+and writes blocks: a row holds the block's documents with their token counts
+and the coded ids. Files are written by Spark's committer, so a lost task
+leaves nothing half written.
 
 Blocks decode independently. A document's start is the sum of the tokens of
 earlier ranges, earlier blocks of its range and earlier documents of its
@@ -29,11 +30,13 @@ from pyspark.sql import functions as F
 
 from tramline.llm import rans
 from tramline.llm.chunks import load
-from tramline.llm.common import with_python
+from tramline.llm.common import settle, with_python
 from tramline.llm.words import row_slices, text_buffer
 
 END_ID = 2
 VOCABULARY = 50_257
+#: How ids are kept between the passes; the vocabulary has less than 2**16.
+PACKED = np.dtype("<u2")
 #: A block closes with the document that brings it to so many ids.
 BLOCK = 1 << 20
 
@@ -52,22 +55,44 @@ def _with_end(flat: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.insert(flat, at[1:], END_ID), at + np.arange(len(at))
 
 
-def count_tokens(docs: DataFrame, tokenizer: str) -> np.ndarray:
-    """How often each id occurs in all texts, end ids included."""
+def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """(doc_id, tie, ids): each text's ids and the end id as little-endian 16-bit numbers; ``tie`` orders equal doc_ids."""
     with_python(docs.sparkSession)
+    id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, total = load(tokenizer, False), np.zeros(VOCABULARY, np.int64)
+        encoder = load(tokenizer, False)
         for batch in batches:
-            buf, off = text_buffer(batch.column(0))
+            buf, off = text_buffer(batch.column(1))
             for i, j in row_slices(off):
-                total += encoder.count(buf[off[i]:off[j]], off[i:j + 1] - off[i], VOCABULARY)
-            total[END_ID] += batch.num_rows
+                flat, at = _with_end(*encoder.encode(buf[off[i]:off[j]], off[i:j + 1] - off[i]))
+                packed = pa.Array.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer((2 * at).astype(np.int64)), pa.py_buffer(flat.astype(PACKED))])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), packed.cast(pa.binary())],
+                                                 names=["doc_id", "tie", "ids"])
+
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("tie")).mapInArrow(work, f"doc_id {id_type}, tie long, ids binary")
+
+
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a column of packed ids, and the n + 1 offsets."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    off = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
+    ids = np.frombuffer(data, PACKED, count=int(off[-1]) // 2)[int(off[0]) // 2:] if len(column) and off[-1] else np.zeros(0, PACKED)
+    return ids, (off - off[0]) // 2
+
+
+def count_tokens(encoded: DataFrame) -> np.ndarray:
+    """How often each id occurs in all texts, end ids included."""
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(VOCABULARY, np.int64)
+        for batch in batches:
+            total += np.bincount(_unpacked(batch.column(0))[0], minlength=VOCABULARY)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some])], names=["id", "n"])
 
     counts = np.zeros(VOCABULARY, np.int64)
-    for r in docs.select("text").mapInArrow(work, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
+    for r in encoded.select("ids").mapInArrow(work, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
         counts[r.id] = r.n
     return counts
 
@@ -75,14 +100,14 @@ def count_tokens(docs: DataFrame, tokenizer: str) -> np.ndarray:
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, block: int = BLOCK) -> None:
     """Write the ids of all texts, each with the end id, in ascending doc_id order under ``path``."""
     spark = docs.sparkSession
-    freq = rans.normalised(count_tokens(docs, tokenizer)).astype("<u4").tobytes()
+    encoded = settle(encode_documents(docs, tokenizer), "token-ids")
+    freq = rans.normalised(count_tokens(encoded)).astype("<u4").tobytes()
     spark.createDataFrame([(bytearray(freq),)], "freq binary").write.mode("overwrite").parquet(f"{path}/table")
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    ordered = (docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
-               .repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie"))
+    ordered = encoded.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "ids")
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, table, part = load(tokenizer, False), _table(freq), TaskContext.get().partitionId()
+        table, part = _table(freq), TaskContext.get().partitionId()
         held: list[tuple[pa.Array, np.ndarray]] = []
         pieces: list[np.ndarray] = []
         size = number = 0
@@ -99,20 +124,18 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, block: int = BLOCK)
                 names=["part", "block", "n_tokens", "doc_ids", "counts", "payload"])
 
         for batch in batches:
-            buf, off = text_buffer(batch.column(1))
-            for i, j in row_slices(off):
-                flat, at = _with_end(*encoder.encode(buf[off[i]:off[j]], off[i:j + 1] - off[i]))
-                k = 0
-                while k < j - i:  # the rows from k on that bring the block to its size
-                    m = min(j - i, int(np.searchsorted(at, at[k] + block - size, side="left")))
-                    m = max(m, k + 1)
-                    held.append((batch.column(0).slice(i + k, m - k), np.diff(at[k:m + 1])))
-                    pieces.append(flat[at[k]:at[m]])
-                    size += int(at[m] - at[k])
-                    k = m
-                    if size >= block:
-                        yield close()
-                        held, pieces, size, number = [], [], 0, number + 1
+            flat, at = _unpacked(batch.column(1))
+            k, n = 0, batch.num_rows
+            while k < n:  # the rows from k on that bring the block to its size
+                m = min(n, int(np.searchsorted(at, at[k] + block - size, side="left")))
+                m = max(m, k + 1)
+                held.append((batch.column(0).slice(k, m - k), np.diff(at[k:m + 1])))
+                pieces.append(flat[at[k]:at[m]].astype(np.uint32))
+                size += int(at[m] - at[k])
+                k = m
+                if size >= block:
+                    yield close()
+                    held, pieces, size, number = [], [], 0, number + 1
         if held:
             yield close()
 
