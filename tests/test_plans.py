@@ -10,7 +10,7 @@ from tests.conftest import SF_SMALL
 from tramline.plans.catalog import CATALOG
 
 STREAMING = {"stream_upsert", "stream_latest", "stream_waits", "stream_late", "stream_windows", "purge_replay",
-             "seed_scan"}
+             "seed_scan", "stream_recent", "topic_ticks", "live_marts"}
 
 
 def plan(df) -> str:

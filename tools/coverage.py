@@ -17,11 +17,11 @@ IMPL = {
     "S1": ("sources/seeds.py `read_seed`", "test_transit_goldens (all), test_bad_seed_json_fails"),
     "S2": ("sources/tables.py `load_table`", "test_catalog_oracle"),
     "S3": ("schemas.py `EVENT_TABLES`; sources/landing.py `LandingStore`", "test_streaming"),
-    "S4": ("streaming/ingest.py `kafka_source`, `file_source`", "test_streaming"),
+    "S4": ("sources/topics.py `subscribe`; streaming/ingest.py `kafka_source`, `file_source`", "test_topics, topic_ticks"),
     "S5": ("streaming/ingest.py `route_batch` (unknown topic raises)", "test_unknown_topic_fails"),
-    "S6": ("streaming/ingest.py `to_messages`, `write_messages`", "stream_upsert"),
+    "S6": ("sources/topics.py `append_messages`; streaming/ingest.py `to_messages`, `write_messages`", "test_topics"),
     "S7": ("operators/upsert.py `merge_latest`; landing.py `state`", "test_ingest_publish_replay"),
-    "S8": ("streaming/ingest.py `start_ingest` (micro-batches keyed on clock_tick)", "test_streaming"),
+    "S8": ("streaming/ingest.py `route_batch` with `signals`; landing.py tick marks", "test_half_a_tick_is_never_read"),
     "S9": ("sources/landing.py `purge` (purge markers)", "test_purge_hides_earlier_batches"),
     "S10": ("plans/serve.py `shape`, `fetch`", "test_fetch_edge"),
     "S11": ("plans/transit.py functions; streaming/live.py `publish`", "test_ingest_publish_replay"),
