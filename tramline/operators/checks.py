@@ -141,10 +141,9 @@ def prefix_violations(steps: DataFrame, templates: DataFrame, key: str, route: s
     ``steps`` has one row per (key, pos) with the route chosen for the key;
     ``templates`` one row per (route, pos). A step is bad when the template has
     no such position (history longer than the route) or a different value.
-    The template table is small and broadcast.
     """
     t = templates.select(F.col(route).alias("_t_route"), F.col(pos).alias("_t_pos"), F.col(value).alias("_t_val"))
-    j = steps.join(F.broadcast(t), (F.col(route) == F.col("_t_route")) & (F.col(pos) == F.col("_t_pos")), "left")
+    j = steps.join(t, (F.col(route) == F.col("_t_route")) & (F.col(pos) == F.col("_t_pos")), "left")
     bad = j.where(F.col("_t_val").isNull() | (F.col("_t_val") != F.col(value)))
     return bad.groupBy(key).agg(F.min(pos).alias("first_bad_turn"), F.count(F.lit(1)).alias("n_bad"))
 

@@ -146,7 +146,7 @@ def route_travel_ticks(routes: DataFrame, segments: DataFrame) -> DataFrame:
     legs = neighbors(routes, ["route_id"], ["stop_sequence"], ["station_id"], "prev", prefix="from_", bounded=True)
     seg = travel_ticks(segments).select(F.col("from_station_id").alias("from_station_id"),
                                         F.col("to_station_id").alias("station_id"), "travel_ticks")
-    j = legs.join(F.broadcast(seg), ["from_station_id", "station_id"], "left") \
+    j = legs.join(seg, ["from_station_id", "station_id"], "left") \
         .withColumn("travel_ticks", F.coalesce(F.col("travel_ticks"), F.lit(0)).cast("long"))
     return running_total(j, ["route_id"], ["stop_sequence"], "travel_ticks", "ticks_from_start", bounded=True)
 

@@ -1,7 +1,7 @@
 """The transit data products, as lazy DataFrames composed from the operators.
 
-Inputs are two bundles: ``Network`` (static configuration, small and bounded
-by the network's size, broadcast in joins) and ``Events`` (the staged event
+Inputs are two bundles: ``Network`` (static configuration; joins with it carry
+no hint, Spark broadcasts a side it has measured as small) and ``Events`` (the staged event
 logs: seed rows UNION ALL live rows, typed). Each function returns a lazy
 frame; nothing is collected.
 
@@ -136,7 +136,7 @@ def station_passengers_recent_stats(ev: Events, net: Network) -> DataFrame:
     cols = ["total_passengers_in_station", "passengers_boarded_trains", "passengers_entered_station",
             "passengers_waiting"]
     latest = latest_by_key(rows, ["station_id"], ["clock_tick"], ["clock_tick", *cols])
-    names = F.broadcast(net.stations.select("station_id", "station_name"))
+    names = net.stations.select("station_id", "station_name")
     return latest.join(names, "station_id", "left").select("station_id", "station_name", *cols)
 
 
@@ -157,13 +157,13 @@ def passengers_wait_times(ev: Events, since_tick: int | None = None) -> DataFram
 def route_topology(net: Network) -> DataFrame:
     """O-M7: per (route, stop) the leg length from the previous stop and the
     cumulative distance; plus the longest cumulative distance in the network."""
-    stops = net.routes.join(F.broadcast(net.stations), "station_id", "inner")
+    stops = net.routes.join(net.stations, "station_id", "inner")
     stops = neighbors(stops, ["route_id"], ["stop_sequence"], ["station_id"], "prev",
                       prefix="previous_", bounded=True)
     seg = net.rail_segments.select(F.col("from_station_id").alias("previous_station_id"),
                                    F.col("to_station_id").alias("station_id"),
                                    F.col("distance_km").cast("double").alias("_km"))
-    legs = stops.join(F.broadcast(seg), ["previous_station_id", "station_id"], "left")
+    legs = stops.join(seg, ["previous_station_id", "station_id"], "left")
     legs = legs.withColumn("segment_km", F.coalesce(F.col("_km"), F.lit(0.0)))
     cum = running_total(legs, ["route_id"], ["stop_sequence"], "segment_km", "distance_from_start_km",
                         bounded=True)
@@ -177,10 +177,10 @@ def trains_linear_positions(ev: Events, net: Network, state: DataFrame | None =
     the current segment (0 without one). Trains whose stop index is not on
     their route's topology are dropped."""
     state = trains_recent_state(ev) if state is None else state
-    current = state.join(F.broadcast(net.trains.select("train_id", "route_id")), "train_id", "inner")
+    current = state.join(net.trains.select("train_id", "route_id"), "train_id", "inner")
     topo = route_topology(net).select("route_id", F.col("stop_sequence").alias("recent_stop_sequence"),
                                       F.col("distance_from_start_km").alias("base_distance_km"))
-    base = current.join(F.broadcast(topo), ["route_id", "recent_stop_sequence"], "inner")
+    base = current.join(topo, ["route_id", "recent_stop_sequence"], "inner")
     offsets = segments_recent_state(ev).where(F.col("train_id").isNotNull()) \
         .select("segment_id", "train_id", "train_position")
     pos = base.join(offsets, ["segment_id", "train_id"], "left")
@@ -205,7 +205,7 @@ def train_spacing(ev: Events, net: Network, positions: DataFrame | None = None)
 def trains_recent_utilization(ev: Events, net: Network, state: DataFrame | None = None) -> DataFrame:
     """O-M10: riders over capacity in percent, one decimal; null for zero/unknown capacity."""
     state = trains_recent_state(ev) if state is None else state
-    caps = F.broadcast(net.trains.select("train_id", "capacity"))
+    caps = net.trains.select("train_id", "capacity")
     return state.join(caps, "train_id", "left").select(
         "train_id", "passenger_count", "capacity",
         fx.safe_pct("passenger_count", "capacity", 1).alias("utilization_pct"))
@@ -318,7 +318,7 @@ def corridor_offsets(edges: DataFrame, route: str = "route_id", order: str = "st
     if coords is not None:
         a = coords.select(F.col("name").alias(start), F.col("x").alias("x1"), F.col("y").alias("y1"))
         b = coords.select(F.col("name").alias(end), F.col("x").alias("x2"), F.col("y").alias("y2"))
-        first = first.join(F.broadcast(a), start, "inner").join(F.broadcast(b), end, "inner")
+        first = first.join(a, start, "inner").join(b, end, "inner")
     mag = F.when(F.col("offset_index") == 0, F.lit(0.0)).otherwise(
         F.when(F.col("offset_index") % 2 == 1, F.lit(spacing)).otherwise(F.lit(-spacing))
         * F.floor((F.col("offset_index") + 1) / 2))
