@@ -114,6 +114,16 @@ def test_near_vectors(spark, vector_dir):
     assert all(r.kept == (r.component_id is None or r.vec_id == r.component_id) for r in got)
 
 
+def test_near_vectors_sql(spark, vector_dir):
+    import duckdb
+
+    from tests.oracle import compare
+    from tramline.llm.catalog import ORACLE_SQL
+    name, con = "op13_embedding_near_dedup", duckdb.connect()
+    con.execute(f"create view embeddings as select * from read_parquet('{vector_dir}/embeddings.parquet/*.parquet')")
+    assert compare(spark, QUERIES[name], ORACLE_SQL[name], vector_dir, con)["ok"]
+
+
 def test_many_small_buckets_and_saturated_lists(spark, monkeypatch):
     """Buckets of a few nodes, hot ones dealt out, cells of a few nodes: all links of loose and tight groups."""
     rng = np.random.default_rng(11)

@@ -19,7 +19,7 @@ SQL = """
 WITH RECURSIVE ok AS (
   SELECT row_number() OVER () AS rid, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(embedding, c -> c <> 0)) > 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(embedding, lambda c: c <> 0)) > 0
 ), unit AS (
   SELECT rid, vec_id, v, sqrt(list_dot_product(v, v)) AS size FROM ok
 ), link AS (
@@ -36,8 +36,8 @@ WITH RECURSIVE ok AS (
   FROM ok LEFT JOIN class USING (rid) LEFT JOIN links USING (rid)
 ), bad AS (
   SELECT vec_id, CAST(0 AS BIGINT) AS n_links, vec_id AS component_id FROM embeddings
-  WHERE embedding IS NULL OR len(embedding) = 0 OR len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) > 0
-    OR len(list_filter(embedding, c -> c <> 0)) = 0
+  WHERE embedding IS NULL OR len(embedding) = 0 OR len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) > 0
+    OR len(list_filter(embedding, lambda c: c <> 0)) = 0
 )
-SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM (SELECT * FROM good UNION ALL SELECT * FROM bad)
+SELECT vec_id, n_links, component_id, (component_id IS NULL OR vec_id IS NOT DISTINCT FROM component_id) AS kept FROM (SELECT * FROM good UNION ALL SELECT * FROM bad)
 """
