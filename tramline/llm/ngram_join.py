@@ -32,7 +32,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tramline.llm.common import broadcast_if_small, settle, with_python
@@ -244,38 +244,68 @@ def runs_needed(threshold: float, recall: float, depth: int) -> int:
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - one)))
 
 
+def _alike(rows: DataFrame, large: DataFrame) -> DataFrame:
+    """(path, into): large buckets that mostly hold the members of another one, which they may join.
+
+    Members that meet at several positions are alike, and splitting their
+    buckets would only repeat them. Every member votes for its largest bucket;
+    a bucket goes into the one that half of its members name, if that is not
+    over twice its size.
+    """
+    held = settle(rows.join(broadcast_if_small(large), "path").select("node", "path", "n"), "large")
+    best = held.groupBy("node").agg(F.max(F.struct("n", "path")).alias("best"))
+    votes = held.join(best, "node").groupBy("path", "n", "best").agg(F.count("*").alias("votes"))
+    voted = votes.groupBy("path", "n").agg(F.max(F.struct("votes", "best")).alias("v")).select(
+        "path", F.when((F.col("v.votes") >= ALIKE * F.col("n")) & (F.col("n") >= ALIKE * F.col("v.best.n")),
+                       F.col("v.best.path")).otherwise(F.col("path")).alias("into"))
+    voted = settle(voted, "voted")
+    onward = voted.select(F.col("path").alias("into"), F.col("into").alias("onward"))
+    voted = voted.join(onward, "into").select("path", F.col("onward").alias("into"))
+    several = voted.groupBy("into").agg(F.count("*").alias("parts")).filter("parts > 1")
+    return settle(voted.join(several, "into").select("path", "into"), "alike")
+
+
+def _bit(j: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), j.cast("int"))
+
+
 def _paths(nodes: DataFrame, first_run: int, n_runs: int, total: int) -> tuple[list[DataFrame], int]:
     """Leaf buckets (path, node, n) of some runs and the depth they reached."""
     starts = F.array(*[F.struct(F.xxhash64(F.lit(r), F.lit(j), F.element_at("tokens", j + 1)).alias("path"),
                                 F.lit(1 << j).cast("long").alias("used")) for r, j in _run_starts(first_run, n_runs)])
-    rows = nodes.select("node", F.explode(starts).alias("c")).select("node", "c.path", "c.used",
-                                                                     F.lit(total).cast("long").alias("above"))
+    rows = settle(nodes.select("node", F.explode(starts).alias("c")).select(
+        "node", "c.path", "c.used", F.lit(total).cast("long").alias("above")), "starts")
     leaves, depth = [], 1
     while True:
         stats = settle(rows.groupBy("path").agg(
             F.count("*").alias("n"), F.first("above").alias("above"), F.first("used").alias("used"),
-            F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("sum")).filter("n > 1"), "buckets")
+            F.bit_xor(F.xxhash64("node")).alias("mark")).filter("n > 1"), "buckets")
+        large = stats.filter(F.col("n") > LEAF).select("path", "n")
+        if large.limit(1).count():
+            alike = _alike(rows, large)
+            united = settle(rows.join(broadcast_if_small(alike), "path").select(
+                F.col("into").alias("path"), "node").distinct(), "united")
+            leaves.append(united.join(united.groupBy("path").agg(F.count("*").alias("n")), "path").select("path", "node", "n"))
+            stats = stats.join(alike, "path", "left_anti")
         split = (F.col("n") > LEAF) & (F.col("n") < ALIKE * F.col("above"))
         # the same members meet again in other runs; one bucket of them is enough
-        ends = stats.filter(~split).groupBy("n", "sum").agg(F.min("path").alias("path")).select("path", "n")
-        leaves.append(rows.select("path", "node").join(ends, "path"))
-        more = stats.filter(split)
+        ends = settle(stats.filter(~split).groupBy("n", "mark").agg(F.min("path").alias("path")).select("path", "n"), "ends")
+        leaves.append(rows.select("path", "node").join(broadcast_if_small(ends), "path").select("path", "node", "n"))
+        more = settle(stats.filter(split), "more")
         if not more.limit(1).count() or depth >= POSITIONS // BRANCHES:
             if depth >= POSITIONS // BRANCHES:
-                leaves.append(rows.select("path", "node").join(more.select("path", "n"), "path"))
+                leaves.append(rows.select("path", "node").join(more.select("path", "n"), "path").select("path", "node", "n"))
             return leaves, depth
         depth += 1
         start, stride = F.pmod(F.xxhash64("path", F.lit(1)), F.lit(POSITIONS)), F.pmod(
             F.xxhash64("path", F.lit(2)), F.lit(POSITIONS // 2)) * 2 + 1
         free = F.slice(F.filter(
             F.transform(F.sequence(F.lit(0), F.lit(POSITIONS - 1)), lambda i: F.pmod(start + i * stride, F.lit(POSITIONS))),
-            lambda j: F.expr("used").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), j.cast("int"))) == 0),
-            1, BRANCHES)
+            lambda j: F.expr("used").bitwiseAND(_bit(j)) == 0), 1, BRANCHES)
         chosen = more.select("path", "n", "used", F.explode(free).alias("j"))
         rows = settle(rows.select("path", "node").join(chosen, "path").join(nodes.select("node", "tokens"), "node").select(
             "node", F.xxhash64("path", "j", F.element_at("tokens", (F.col("j") + 1).cast("int"))).alias("path"),
-            F.col("used").bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("j").cast("int"))).alias("used"),
-            F.col("n").alias("above")), "paths")
+            F.col("used").bitwiseOR(_bit(F.col("j"))).alias("used"), F.col("n").alias("above")), "paths")
 
 
 def leaf_buckets(nodes: DataFrame, threshold: float, recall: float) -> DataFrame:
