@@ -272,3 +272,49 @@ def test_topic_counts_monitor(spark, scratch):
     got = sorted((r.window_start.minute, r.topic, r.n) for r in spark.read.parquet(out).collect()
                  if r.window_start.hour == 8)
     assert got == [(0, "train_status", 2), (0, "world_clock", 1), (1, "world_clock", 1), (2, "station_status", 1)]
+
+
+class _State:
+    """A group's state in memory; a stand-in for Spark's."""
+
+    def __init__(self):
+        self.value, self.mark, self.hasTimedOut, self.timeout = None, 0, False, None
+
+    exists = property(lambda self: self.value is not None)
+    get = property(lambda self: self.value)
+
+    def getCurrentWatermarkMs(self):
+        return self.mark
+
+    def update(self, value):
+        self.value = value
+
+    def remove(self):
+        self.value = None
+
+    def setTimeoutTimestamp(self, at):
+        self.timeout = at
+
+
+def test_waits_of_many_keys_in_one_group():
+    """One call walks all keys of a group; keys do not see each other's rows, and duplicates count once."""
+    import random
+
+    import pandas as pd
+
+    from tramline.streaming.stateful import _waits_fn
+    r = random.Random(3)
+    rows = [(k, t * 1000, k * 100 + t, r.random() < 0.5, r.random() < 0.5, t) for k in range(20) for t in r.sample(range(1, 90), 30)]
+    state, got = _State(), []
+    for upto, mark in ((30, 0), (60, 20), (90, 50), (0, 1000)):
+        part = [x for x in rows if upto - 30 <= x[5] < upto]
+        frame = pd.DataFrame(part + part[::2], columns=["_k", "_t", "_tb", "_start", "_end", "_ms"])
+        state.mark, state.hasTimedOut = mark, not part
+        for out in _waits_fn(0, 100, (7,), iter([frame] if part else []), state):
+            got += list(out.itertuples(index=False, name=None))
+    want = []
+    for k in range(20):
+        own = sorted(x for x in rows if x[0] == k)
+        want += [(k, b[1], b[2], b[1] - a[1], "wait") for a, b in zip(own, own[1:], strict=False) if a[3] and b[4]]
+    assert sorted(got) == sorted(want) and len(want) > 50
+    assert not state.exists  # all keys are older than the retention

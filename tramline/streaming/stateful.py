@@ -7,7 +7,8 @@ across any number of micro-batches; the waits equal the batch answer. A row
 that comes when a later one of its key has been walked is emitted with
 ``kind = 'late'`` instead, if it is not older than the horizon, beyond which
 Spark itself drops rows. The state of a key is its last row and the rows
-held back; a key without rows for the retention is forgotten.
+held back; a key without rows for the retention is forgotten. Keys share
+states and calls of Pandas in a fixed number of groups.
 
 ``latest_per_key`` is the streaming form of latest-state: a grouped ``max``
 over a struct, valid in update/complete mode (``row_number`` is not allowed
@@ -24,66 +25,88 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-STATE_SCHEMA = ("last_t long, last_tb long, last_start boolean, seen_ms long, "
-                "t array<long>, tb array<long>, start array<boolean>, end array<boolean>, ms array<long>")
+# the last row of every key of the group, and the rows held back
+STATE_SCHEMA = ("key array<long>, last_t array<long>, last_tb array<long>, last_start array<boolean>, walked array<boolean>, "
+                "seen_ms array<long>, held_key array<long>, t array<long>, tb array<long>, start array<boolean>, "
+                "end array<boolean>, ms array<long>")
 OUT_SCHEMA = "key long, t long, tb long, wait long, kind string"
-_HELD = ["t", "tb", "start", "end", "ms"]
-_TYPES = [np.int64, np.int64, np.bool_, np.bool_, np.int64]
-
-
-def _walk(rows: list[np.ndarray], last: tuple) -> tuple[pd.DataFrame | None, tuple]:
-    """Waits and late rows of ``rows`` (in order) after the row ``last``; and the new last row."""
-    t, tb, start, end, _ = rows
+_KEYS = [np.int64, np.int64, np.int64, np.bool_, np.bool_, np.int64]
+_HELD = ["_k", "_t", "_tb", "_start", "_end", "_ms"]
+_TYPES = [np.int64, np.int64, np.int64, np.bool_, np.bool_, np.int64]
+#: Groups of keys that share a state row and a call of Pandas; a call costs milliseconds, its rows little.
+GROUPS = 4096
+_NULL_GROUP = -1
+_LEAST = -(1 << 63)
+
+
+def _walk(rows: list[np.ndarray], keys: np.ndarray, last: list[np.ndarray]) -> pd.DataFrame | None:
+    """Waits and late rows of ``rows`` (by key, in order) after their keys' last rows, which are moved on."""
+    last_t, last_tb, last_start, walked = last
+    at = np.searchsorted(keys, rows[0])
+    _, t, tb, start, end, _ = rows
     frames = []
-    if last[0] is not None:
-        late = (t < last[0]) | ((t == last[0]) & (tb < last[1]))
-        if late.any():
-            frames.append(pd.DataFrame({"t": t[late], "tb": tb[late], "wait": pd.array([pd.NA] * int(late.sum()), dtype="Int64"), "kind": "late"}))
-        good = ~late & ~((t == last[0]) & (tb == last[1]))  # the last row itself, delivered again, says nothing new
-        t, tb, start, end = t[good], tb[good], start[good], end[good]
+    late = walked[at] & ((t < last_t[at]) | ((t == last_t[at]) & (tb < last_tb[at])))
+    if late.any():
+        frames.append(pd.DataFrame({"key": keys[at[late]], "t": t[late], "tb": tb[late],
+                                    "wait": pd.array([pd.NA] * int(late.sum()), dtype="Int64"), "kind": "late"}))
+    # the last row itself, delivered again, says nothing new
+    good = ~late & ~(walked[at] & (t == last_t[at]) & (tb == last_tb[at]))
+    at, t, tb, start, end = at[good], t[good], tb[good], start[good], end[good]
     if len(t):
-        before_t = np.concatenate([[last[0] if last[0] is not None else 0], t[:-1]])
-        ended = end & np.concatenate([[bool(last[2])], start[:-1]])
+        first = np.append(True, at[1:] != at[:-1])
+        before_t = np.where(first, last_t[at], np.append(0, t[:-1]))
+        ended = end & np.where(first, walked[at] & last_start[at], np.append(False, start[:-1]))
         if ended.any():
-            frames.append(pd.DataFrame({"t": t[ended], "tb": tb[ended], "wait": pd.array((t - before_t)[ended], dtype="Int64"), "kind": "wait"}))
-        last = (int(t[-1]), int(tb[-1]), bool(start[-1]))
-    return (pd.concat(frames) if len(frames) > 1 else frames[0] if frames else None), last
+            frames.append(pd.DataFrame({"key": keys[at[ended]], "t": t[ended], "tb": tb[ended],
+                                        "wait": pd.array((t - before_t)[ended], dtype="Int64"), "kind": "wait"}))
+        end_of_key = np.append(first[1:], True)
+        to = at[end_of_key]
+        last_t[to], last_tb[to], last_start[to], walked[to] = t[end_of_key], tb[end_of_key], start[end_of_key], True
+    return pd.concat(frames) if len(frames) > 1 else frames[0] if frames else None
 
 
-def _waits_fn(ahead_ms: int, retention_ms: int | None, key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+def _waits_fn(ahead_ms: int, retention_ms: int | None, group: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
     # Spark's watermark trails by the horizon; rows are final where it trails by the tolerance
     mark = state.getCurrentWatermarkMs()
     final = mark + ahead_ms if mark > 0 else 0
-    last, seen = (None, None, None), 0
+    known = [np.zeros(0, k) for k in _KEYS]
     parts: list[list[np.ndarray]] = []
     if state.exists:
-        *last, seen, t, tb, start, end, ms = state.get
-        last = tuple(last)
-        if len(t):
-            parts.append([np.array(c, k) for c, k in zip((t, tb, start, end, ms), _TYPES, strict=True)])
+        values = state.get
+        known = [np.array(c, k) for c, k in zip(values[:6], _KEYS, strict=True)]
+        parts.append([np.array(c, k) for c, k in zip(values[6:], _TYPES, strict=True)])
     if not state.hasTimedOut:
-        parts += [[b[f"_{c}"].to_numpy(k) for c, k in zip(_HELD, _TYPES, strict=True)] for b in batches]
+        parts += [[b[c].to_numpy(k) for c, k in zip(_HELD, _TYPES, strict=True)] for b in batches]
     held = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.zeros(0, k) for k in _TYPES]
-    if len(held[0]):
-        seen = max(seen, int(held[4].max()))
-        order = np.lexsort((held[1], held[0]))
-        held = [c[order] for c in held]
-        # a message delivered twice is one row
-        new = np.concatenate([[True], (held[0][1:] != held[0][:-1]) | (held[1][1:] != held[1][:-1])])
-        due = held[4] <= final
-        out, last = _walk([c[new & due] for c in held], last)
-        held = [c[new & ~due] for c in held]
-    else:
-        out = None
-    if retention_ms is not None and not len(held[0]) and seen + retention_ms <= final:
+    # every key of the group, with its last row if it was there before
+    keys = np.unique(np.concatenate([known[0], held[0]]))
+    old = np.searchsorted(keys, known[0])
+    last = [np.zeros(len(keys), k) for k in _KEYS[1:]]
+    for c, v in zip(last, known[1:], strict=True):
+        c[old] = v
+    *last, seen = last
+    order = np.lexsort((held[2], held[1], held[0]))
+    held = [c[order] for c in held]
+    np.maximum.at(seen, np.searchsorted(keys, held[0]), held[5])
+    # a message delivered twice is one row
+    new = np.append(np.ones(min(1, len(order)), np.bool_), np.any([c[1:] != c[:-1] for c in held[:3]], axis=0))
+    due = held[5] <= final
+    out = _walk([c[new & due] for c in held], keys, last)
+    held = [c[new & ~due] for c in held]
+    waiting = np.isin(keys, held[0])
+    stay = np.ones(len(keys), np.bool_) if retention_ms is None else waiting | (seen + retention_ms > final)
+    if not stay.any():
         state.remove()
     else:
-        state.update((*last, seen, *(c.tolist() for c in held)))
-        due_at = int(held[4].min()) if len(held[0]) else seen + (retention_ms or 0)
-        if len(held[0]) or retention_ms is not None:
-            state.setTimeoutTimestamp(max(due_at - ahead_ms, mark) + 1)
+        state.update(tuple(c.tolist() for c in (keys[stay], *(c[stay] for c in last), seen[stay], *held)))
+        due_at = held[5].tolist()
+        if retention_ms is not None:
+            due_at += (seen[stay & ~waiting] + retention_ms).tolist()
+        if due_at:
+            state.setTimeoutTimestamp(max(min(due_at) - ahead_ms, mark) + 1)
     if out is not None:
-        out.insert(0, "key", key[0])
+        if group[0] == _NULL_GROUP:
+            out["key"] = pd.array([pd.NA] * len(out), dtype="Int64")
         yield out
 
 
@@ -98,9 +121,10 @@ def transition_waits(stream: DataFrame, key: str, t: Column | str, tiebreak: str
     ``tolerance_ms`` later, so a stream's last rows come out when later rows
     follow. Rows up to ``horizon_ms`` (the tolerance or more) behind are
     reported as late.
-    Pandas runs once per key and micro-batch, on whole columns; bound the
-    micro-batch size (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``) so
-    one key's rows of a batch stay small. With ``retention_ms``, a key with no
+    Keys are dealt into ``GROUPS`` groups, and Pandas runs once per group and
+    micro-batch, on whole columns of all its keys; bound the micro-batch size
+    (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``) so one group's rows of
+    a batch stay small. With ``retention_ms``, a key with no
     rows for so much event time is forgotten, so the state store holds active
     keys only.
     """
@@ -121,7 +145,11 @@ def transition_waits(stream: DataFrame, key: str, t: Column | str, tiebreak: str
     marked = prepared.withWatermark("_event_ts", f"{horizon_ms} milliseconds")
     if once:
         marked = marked.dropDuplicatesWithinWatermark([key, "_t", "_tb"])
-    return marked.groupBy(key).applyInPandasWithState(
+    number = lambda c: F.coalesce(F.col(c), F.lit(_LEAST)).alias(c)
+    group = F.when(F.col(key).isNull(), _NULL_GROUP).otherwise(F.pmod(F.xxhash64(key), F.lit(GROUPS)).cast("int"))
+    dealt = marked.select(group.alias("_group"), F.coalesce(F.col(key), F.lit(0)).alias("_k"), number("_t"), number("_tb"),
+                          "_start", "_end", number("_ms"), "_event_ts")
+    return dealt.groupBy("_group").applyInPandasWithState(
         partial(_waits_fn, horizon_ms - tolerance_ms, retention_ms), OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
 
 
