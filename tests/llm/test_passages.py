@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tramline.llm import substrings
 from tramline.llm.substrings import alike, duplicate_passages
+from tramline.llm.words import mix
 
 
 def filler(r, n):
@@ -124,3 +125,50 @@ def test_copies_are_passages_as_a_whole(spark):
     assert all(not got[k].spans and not got[k].removable for k in (1, 4, 8, 9, 10, 11))
     rows = spark.createDataFrame([(None, long), (None, long), (4, long), (4, long)], "doc_id long, text string")
     assert sorted((x.doc_id or 0, len(x.removable)) for x in duplicate_passages(rows).collect()) == [(0, 1), (0, 1), (4, 0), (4, 1)]
+
+
+def test_n_links_counts_every_alike_text(spark, monkeypatch):
+    """Also those over links that add no passage, in lists of any length, with words changed, put in or left out."""
+    r = random.Random(13)
+    common, quoted = filler(r, 150), filler(r, 60)
+    texts = [filler(r, 20) + quoted + filler(r, r.randint(0, 9)) for _ in range(8)]
+    for k in range(24):
+        words = [w if r.random() < 0.99 else filler(r, 1)[0] for w in common]
+        at = r.randrange(150)
+        texts.append(words[:at] + (filler(r, 1) + words[at:] if k % 3 == 0 else words[at + (k % 3 == 1):]))
+    texts += [filler(r, 90) for _ in range(3)]
+    want = [sum(bool(alike(hashes(x), hashes(y), 46, 0.8)) for y in texts if y is not x) for x in texts]
+    assert want[:8] == [7] * 8 and want[-3:] == [0] * 3 and min(want[8:-3]) > 10
+    rows = [" ".join(t) for t in texts] * 2  # a copy is no other text
+    for long, block in ((512, 2048), (4, 2048), (4, 10)):
+        monkeypatch.setattr(substrings, "LINKED", long)
+        monkeypatch.setattr(substrings, "BLOCK", block)
+        got = found(spark, rows)
+        assert [got[k].n_links for k in range(len(rows))] == want * 2
+
+
+def test_pairs_of_a_list_are_linked_for_certain_only_if_alike():
+    r = random.Random(14)
+    some = 0
+    for _ in range(30):
+        own = r.randrange(1 << 64)
+        value = int(mix(mix(np.array([own], np.uint64) ^ substrings._SALT[2]) + substrings._SALT[2]).view(np.int64)[0])
+        common = [r.randrange(1 << 32) for _ in range(60)]
+        common[30] = own >> 32
+        grams = []
+        for k in range(10):
+            g = [x if i == 30 or r.random() < 0.93 else r.randrange(1 << 32) for i, x in enumerate(common)]
+            if k % 3 == 0:
+                g.insert(r.choice([12, 25]), r.randrange(1 << 32))
+            grams.append(np.array(g[r.randint(0, 12):len(g) - r.randint(0, 12)], np.uint32))
+        around = substrings._around(grams, value, 46)
+        assert (around[:, 45] == own >> 32).all()
+        pairs = np.array([(k, o) for k in range(10) for o in range(k)])
+        certain = substrings._certain(around, pairs, 46, 41)
+        likely = np.concatenate(list(substrings._likely(around, np.tril(np.ones((10, 10), np.bool_), -1), 46, 41)))
+        assert {tuple(p) for p in pairs[certain].tolist()} <= {tuple(p) for p in likely.tolist()}
+        same = [bool(alike(grams[k], grams[o], 46, 0.8)) for k, o in pairs.tolist()]
+        assert all(s for s, c in zip(same, certain.tolist(), strict=True) if c)
+        some += int(certain.sum())
+        assert sum(same) - certain.sum() < 30
+    assert some > 30
