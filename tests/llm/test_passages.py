@@ -172,3 +172,31 @@ def test_pairs_of_a_list_are_linked_for_certain_only_if_alike():
         some += int(certain.sum())
         assert sum(same) - certain.sum() < 30
     assert some > 30
+
+
+def test_texts_are_cut_into_windows_once_and_ngrams_go_to_cells_alone(spark, monkeypatch):
+    written = {}
+
+    def settle(df, name, write=substrings.settle):
+        written[name] = df.columns
+        return write(df, name)
+
+    monkeypatch.setattr(substrings, "settle", settle)
+    cut = spark.sparkContext.accumulator(0)
+
+    def windows(docs, passage, made=substrings.windows):
+        def seen(batches):
+            for batch in batches:
+                cut.add(batch.num_rows)
+                yield batch
+
+        return made(docs.mapInArrow(seen, docs.schema), passage)
+
+    monkeypatch.setattr(substrings, "windows", windows)
+    r = random.Random(15)
+    passage = filler(r, 60)
+    read = [" ".join(filler(r, 9) + passage + filler(r, k)) for k in range(12)]
+    got = found(spark, read)
+    assert {x.n_links for x in got.values()} == {11}
+    assert cut.value == len(read)
+    assert "grams" in written["contents"] and "grams" not in written["windows"]
